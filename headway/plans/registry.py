@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from headway.functions.dates import epoch_to_utc_wall
 from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval
-from headway.operators import analytics, marts, staging, versions
+import datetime as dt
+
+from headway.operators import analytics, marts, quality, staging, versions
 from headway.plans.warehouse import Marts, Warehouse
 from headway.sources import derived
 
@@ -101,7 +103,7 @@ def q_version_dedup_anti(spark, sf_dir):
     that the manifest does not know yet."""
     li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
     cand = li.select(
-        F.md5(F.date_trunc("quarter", "l_shipdate").cast("date").cast("string")).alias("version")
+        F.md5(F.trunc(F.col("l_shipdate").cast("date"), "quarter").cast("string")).alias("version")
     )
     return versions.unseen_versions(cand, derived.manifest(spark, sf_dir))
 
@@ -186,6 +188,99 @@ def q_stops_with_coordinates(spark, sf_dir):
     return analytics.stops_with_coordinates(_marts(spark, sf_dir).punctuality_by_stop())
 
 
+def q_punctuality_by_route_display(spark, sf_dir):
+    return analytics.for_display(_marts(spark, sf_dir).punctuality_by_route())
+
+
+# ── quality ──────────────────────────────────────────────────────────────────
+
+_UTC = dt.timezone.utc
+# Fixed check times: one where the derived feeds are in the future (fresh), one
+# months later (stale), one at 02:30 in Rome (quiet hours).
+RT_CHECK_TIMES = [
+    dt.datetime(2023, 11, 15, 6, 0, tzinfo=_UTC),
+    dt.datetime(2024, 3, 1, 12, 0, tzinfo=_UTC),
+    dt.datetime(2024, 3, 1, 1, 30, tzinfo=_UTC),
+]
+# Nine days and two months after the newest derived download.
+STATIC_CHECK_TIMES = [
+    dt.datetime(2001, 7, 10, 0, 0, tzinfo=_UTC),
+    dt.datetime(2001, 9, 1, 0, 0, tzinfo=_UTC),
+]
+
+
+def q_rt_freshness(spark, sf_dir):
+    d = derived.load_derived(spark, sf_dir)
+    return quality.union_all(
+        [
+            quality.rt_freshness_status(d.trip_updates, "trip_updates", RT_CHECK_TIMES),
+            quality.rt_freshness_status(d.vehicle_positions, "vehicle_positions", RT_CHECK_TIMES),
+        ]
+    )
+
+
+def q_static_freshness(spark, sf_dir):
+    return quality.static_freshness_status(derived.manifest(spark, sf_dir), STATIC_CHECK_TIMES)
+
+
+def q_check_unique(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.union_all(
+        [
+            quality.summarize("dim_stops", "unique", "stop_id", quality.unique_failures(wh.dim_stops, "stop_id")),
+            quality.summarize(
+                "dim_routes", "unique", "route_id", quality.unique_failures(wh.dim_routes, "route_id")
+            ),
+        ]
+    )
+
+
+NOT_NULL_TESTS = {
+    "dim_stops": ["stop_id", "stop_name"],
+    "dim_routes": ["route_id", "route_short_name"],
+    "dim_trips": ["trip_id", "route_id"],
+    "fct_stop_events": ["trip_id", "stop_id", "service_date", "scheduled_arrival"],
+}
+
+
+def q_check_not_null(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.union_all(
+        [quality.not_null_summary(m, wh.mart(m), cols) for m, cols in NOT_NULL_TESTS.items()]
+    )
+
+
+def q_check_relationships(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.union_all(
+        [
+            quality.summarize(
+                "dim_trips",
+                "relationships",
+                "route_id",
+                quality.relationship_failures(wh.dim_trips, "route_id", wh.dim_routes, "route_id"),
+            ),
+            quality.summarize(
+                "fct_stop_events",
+                "relationships",
+                "stop_id",
+                quality.relationship_failures(wh.fct_stop_events, "stop_id", wh.dim_stops, "stop_id"),
+            ),
+        ]
+    )
+
+
+def q_check_delay_bounds(spark, sf_dir):
+    return quality.delay_bound_violations(_wh(spark, sf_dir).fct_stop_events)
+
+
+def q_mart_readiness(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.mart_readiness(
+        spark, {m: wh.mart(m) for m in ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")}
+    )
+
+
 QUERIES: dict[str, Query] = {
     "stg_gtfs_versions": q_stg_gtfs_versions,
     "stg_stops": q_stg_stops,
@@ -211,4 +306,12 @@ QUERIES: dict[str, Query] = {
     "delay_distribution": q_delay_distribution,
     "total_stop_events": q_total_stop_events,
     "stops_with_coordinates": q_stops_with_coordinates,
+    "punctuality_by_route_display": q_punctuality_by_route_display,
+    "rt_freshness": q_rt_freshness,
+    "static_freshness": q_static_freshness,
+    "check_unique": q_check_unique,
+    "check_not_null": q_check_not_null,
+    "check_relationships": q_check_relationships,
+    "check_delay_bounds": q_check_delay_bounds,
+    "mart_readiness": q_mart_readiness,
 }

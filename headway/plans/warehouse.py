@@ -14,14 +14,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.operators import analytics, marts, staging
-from headway.sources.readers import RawTables
+from headway.sources.readers import RawTables  # or any object with the same attributes
 
 MART_TABLES = ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")
 
 
 @dataclass
 class Warehouse:
-    raw: RawTables
+    raw: RawTables  # duck-typed: DerivedTables works too
     fact_form: str = "resolved"  # or "range" for the literal range-join form
 
     # ── staging ──────────────────────────────────────────────────────────────

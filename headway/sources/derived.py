@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.dates import epoch_utc_date, epoch_utc_hour, poll_key, ymd
-from headway.sources.readers import RawTables
 
 # Fixed values of the derived mapping (shared with the oracle SQL).
 FEED_EPOCH_BASE = 1700000000
@@ -52,7 +51,7 @@ def quarter_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     q = (
         _read(spark, sf_dir, "orders")
-        .select(F.date_trunc("quarter", "o_orderdate").cast("date").alias("q"))
+        .select(F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("q"))
         .distinct()
     )
     version = F.md5(_s(F.col("q")))
@@ -106,7 +105,7 @@ def _with_covering_versions(df: DataFrame, versions: DataFrame) -> DataFrame:
     range condition becomes an equi-join on two candidate quarter starts;
     the version table holds at most four rows per year and is broadcast.
     """
-    q0 = F.date_trunc("quarter", F.col("day")).cast("date")
+    q0 = F.trunc("day", "quarter")
     cand = df.withColumn("q", F.explode(F.array(q0, F.add_months(q0, -3)))).where(
         F.col("day") <= F.add_months("q", VERSION_SPAN_MONTHS)
     )
@@ -292,15 +291,55 @@ def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_derived(spark: SparkSession, sf_dir: str) -> RawTables:
-    """All raw tables derived from one scale-factor directory."""
-    return RawTables(
-        versions=manifest(spark, sf_dir),
-        stops=stops(spark, sf_dir),
-        routes=routes(spark, sf_dir),
-        trips=trips(spark, sf_dir),
-        stop_times=stop_times(spark, sf_dir),
-        calendar_dates=calendar_dates(spark, sf_dir),
-        trip_updates=trip_updates(spark, sf_dir),
-        vehicle_positions=vehicle_positions(spark, sf_dir),
-    )
+class DerivedTables:
+    """Lazily derived raw tables of one scale-factor directory.
+
+    Each table is built on first use; input reads and the quarter-version
+    table are shared, so one plan scans each driver table through a single
+    relation (and Spark can reuse identical exchanges)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = build(self.spark, self.sf_dir)
+        return self._cache[name]
+
+    @property
+    def versions(self) -> DataFrame:
+        return self._get("versions", manifest)
+
+    @property
+    def stops(self) -> DataFrame:
+        return self._get("stops", stops)
+
+    @property
+    def routes(self) -> DataFrame:
+        return self._get("routes", routes)
+
+    @property
+    def trips(self) -> DataFrame:
+        return self._get("trips", trips)
+
+    @property
+    def stop_times(self) -> DataFrame:
+        return self._get("stop_times", stop_times)
+
+    @property
+    def calendar_dates(self) -> DataFrame:
+        return self._get("calendar_dates", calendar_dates)
+
+    @property
+    def trip_updates(self) -> DataFrame:
+        return self._get("trip_updates", trip_updates)
+
+    @property
+    def vehicle_positions(self) -> DataFrame:
+        return self._get("vehicle_positions", vehicle_positions)
+
+
+def load_derived(spark: SparkSession, sf_dir: str) -> DerivedTables:
+    """All raw tables derived from one scale-factor directory (lazy)."""
+    return DerivedTables(spark, sf_dir)
