@@ -63,21 +63,24 @@ def epoch_utc_hour(col: Column | str) -> Column:
 
 
 def poll_key(col: Column | str) -> Column:
-    """Poll identifier ``yyyyMMdd'T'HHmmss`` of an epoch second, truncated to
-    the minute (one poll per minute), in UTC (F16)."""
-    minute = (F.floor(_c(col) / 60) * 60).cast("bigint")
-    # Built from the UTC date/hour pieces so the session zone never leaks in.
-    day = epoch_utc_date(minute)
-    secs = F.pmod(minute, F.lit(86400))
+    """Poll identifier ``yyyyMMdd'T'HHmmss`` of an epoch second in UTC (F16),
+    built from date/hour pieces so the session zone never leaks in."""
+    e = _c(col)
+    secs = F.pmod(e, F.lit(86400))
     return F.concat(
-        F.date_format(day, "yyyyMMdd"),
+        F.date_format(epoch_utc_date(e), "yyyyMMdd"),
         F.lit("T"),
         F.lpad(F.floor(secs / 3600).cast("string"), 2, "0"),
         F.lpad(F.floor(F.pmod(secs, F.lit(3600)) / 60).cast("string"), 2, "0"),
-        F.lit("00"),
+        F.lpad(F.pmod(secs, F.lit(60)).cast("string"), 2, "0"),
     )
 
 
+def truncate_epoch(col: Column | str, seconds: int = 60) -> Column:
+    """Epoch second truncated to a multiple of ``seconds`` (poll granularity)."""
+    return (F.floor(_c(col) / seconds) * seconds).cast("bigint")
+
+
 def local_wall(epoch_seconds: Column | str, tz: str) -> Column:
     """Wall clock of ``tz`` at an epoch second, as TIMESTAMP_NTZ."""
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), epoch_to_utc_wall(epoch_seconds))

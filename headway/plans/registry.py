@@ -17,7 +17,12 @@ from headway.functions.dates import epoch_to_utc_wall
 from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval
 import datetime as dt
 
-from headway.operators import analytics, marts, quality, staging, versions
+from headway import schemas
+from headway.operators import analytics, flatten, marts, quality, staging, versions
+from headway.plans import sinks
+from headway.session import scratch_path
+from headway.sources.readers import read_realtime
+from headway.streaming import realtime as rt
 from headway.plans.warehouse import Marts, Warehouse
 from headway.sources import derived
 
@@ -281,6 +286,126 @@ def q_mart_readiness(spark, sf_dir):
     )
 
 
+# ── ingest, sinks, publishing ────────────────────────────────────────────────
+
+_TU_FLAT = schemas.TRIP_UPDATES.fieldNames()
+_VP_FLAT = schemas.VEHICLE_POSITIONS.fieldNames()
+
+
+def q_flatten_trip_updates(spark, sf_dir):
+    """Nested messages (one per poll and entity) back to flat stop updates."""
+    msgs = flatten.nest_trip_updates(derived.trip_updates(spark, sf_dir).select(*_TU_FLAT))
+    return flatten.flatten_trip_updates(msgs)
+
+
+def q_flatten_vehicle_positions(spark, sf_dir):
+    msgs = flatten.nest_vehicle_positions(derived.vehicle_positions(spark, sf_dir).select(*_VP_FLAT))
+    return flatten.flatten_vehicle_positions(msgs)
+
+
+def q_write_idempotent(spark, sf_dir):
+    """Land every poll twice (a rerun) and read the zone back: no duplicates."""
+    root = scratch_path(spark, "landing")
+    polls = derived.trip_updates(spark, sf_dir)
+    for _ in range(2):
+        sinks.write_realtime(polls, root, "trip_updates", one_file_per_poll=True)
+    return read_realtime(spark, root, "trip_updates")
+
+
+def q_publish_marts(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    target = scratch_path(spark, "published")
+    names = ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")
+    sinks.publish_marts(spark, {m: wh.mart(m) for m in names}, target)
+    # Publishing again truncates: the second load reports the same counts.
+    return sinks.publish_marts(spark, {m: wh.mart(m) for m in names}, target)
+
+
+def q_mirror_dataset(spark, sf_dir):
+    """Land vehicle positions, mirror them to a second root keeping the
+    partition layout, and read the mirror back."""
+    src, dst = scratch_path(spark, "src"), scratch_path(spark, "dst")
+    sinks.write_realtime(derived.vehicle_positions(spark, sf_dir), src, "vehicle_positions", one_file_per_poll=True)
+    sinks.mirror_dataset(
+        spark, src, "vehicle_positions", dst, schemas.VEHICLE_POSITIONS_LANDED, ("date", "hour", "poll")
+    )
+    return read_realtime(spark, dst, "vehicle_positions")
+
+
+# ── streaming ────────────────────────────────────────────────────────────────
+
+
+def _await(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def q_stream_flatten(spark, sf_dir):
+    """Nested messages land as files; an available-now stream flattens
+    them into the partitioned poll layout."""
+    landing, out = scratch_path(spark, "messages"), scratch_path(spark, "flat")
+    msgs = flatten.nest_trip_updates(derived.trip_updates(spark, sf_dir).select(*_TU_FLAT))
+    msgs.repartition(8).write.parquet(landing)
+    _await(
+        rt.stream_flatten(
+            spark, landing, "trip_updates", out, scratch_path(spark, "chk"),
+            max_files_per_trigger=4, poll_seconds=derived.POLL_SECONDS,
+        )
+    )
+    return spark.read.schema(schemas.TRIP_UPDATES_LANDED).parquet(out)
+
+
+# The derived observations span years thinly (a few dozen per day), so the
+# incremental tables are partitioned by month here; daily is the default.
+_STREAM_GRANULARITY = "month"
+
+
+def _land_for_stream(spark, sf_dir) -> tuple[str, int]:
+    """Land every poll; return the landing path and a per-batch file limit
+    giving about three micro-batches."""
+    landing = scratch_path(spark, "landing")
+    sinks.write_realtime(derived.trip_updates(spark, sf_dir), landing, "trip_updates", one_file_per_poll=True)
+    path = f"{landing}/trip_updates"
+    n_files = spark.read.parquet(path).select(F.col("_metadata.file_path")).distinct().count()
+    return path, max(1, n_files // 3 + 1)
+
+
+def q_stream_latest_observation(spark, sf_dir):
+    """R2: incremental newest observation per event over micro-batches."""
+    landing, per_batch = _land_for_stream(spark, sf_dir)
+    target = scratch_path(spark, "latest")
+    _await(
+        rt.stream_latest_observation(
+            spark, landing, target, scratch_path(spark, "chk"), per_batch, granularity=_STREAM_GRANULARITY
+        )
+    )
+    return rt.read_latest(spark, target, _STREAM_GRANULARITY).select(
+        "service_date", "trip_id", "route_id", "direction_id", "stop_sequence", "stop_id",
+        "vehicle_id", "vehicle_label", "arrival_delay", "departure_delay", "feed_timestamp",
+    )
+
+
+def q_incremental_fact(spark, sf_dir):
+    """Fact partitions refreshed after every micro-batch for the service
+    dates it touched; the result equals the batch fact."""
+    wh = _wh(spark, sf_dir)
+    landing, per_batch = _land_for_stream(spark, sf_dir)
+    target, fact_dir = scratch_path(spark, "latest"), scratch_path(spark, "fact")
+
+    def on_batch(touched):
+        rt.refresh_fact(
+            spark, target, wh.stg_gtfs_versions, wh.stg_stop_times, fact_dir, touched, _STREAM_GRANULARITY
+        )
+
+    _await(
+        rt.stream_latest_observation(
+            spark, landing, target, scratch_path(spark, "chk"), per_batch, on_batch, _STREAM_GRANULARITY
+        )
+    )
+    return rt.read_fact(spark, fact_dir)
+
+
 QUERIES: dict[str, Query] = {
     "stg_gtfs_versions": q_stg_gtfs_versions,
     "stg_stops": q_stg_stops,
@@ -314,4 +439,12 @@ QUERIES: dict[str, Query] = {
     "check_relationships": q_check_relationships,
     "check_delay_bounds": q_check_delay_bounds,
     "mart_readiness": q_mart_readiness,
+    "flatten_trip_updates": q_flatten_trip_updates,
+    "flatten_vehicle_positions": q_flatten_vehicle_positions,
+    "write_idempotent": q_write_idempotent,
+    "publish_marts": q_publish_marts,
+    "mirror_dataset": q_mirror_dataset,
+    "stream_flatten": q_stream_flatten,
+    "stream_latest_observation": q_stream_latest_observation,
+    "incremental_fact": q_incremental_fact,
 }

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.functions.dates import epoch_utc_date, epoch_utc_hour, poll_key, ymd
+from headway.functions.dates import epoch_utc_date, epoch_utc_hour, poll_key, truncate_epoch, ymd
 
 # Fixed values of the derived mapping (shared with the oracle SQL).
 FEED_EPOCH_BASE = 1700000000
@@ -32,6 +32,8 @@ DOWNLOAD_TIME = "T04:00:00"
 VERSION_SPAN_MONTHS = 4
 EMPTY_WINDOW_QUARTER = "1999-04-01"
 N_ROUTES = 25
+# The derived feeds are landed in hourly poll batches.
+POLL_SECONDS = 3600
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,7 +160,7 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         epoch_utc_date("feed_timestamp").alias("date"),
         epoch_utc_hour("feed_timestamp").alias("hour"),
-        poll_key("feed_timestamp").alias("poll"),
+        poll_key(truncate_epoch("feed_timestamp", POLL_SECONDS)).alias("poll"),
     )
 
 
@@ -287,7 +289,7 @@ def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         epoch_utc_date("feed_timestamp").alias("date"),
         epoch_utc_hour("feed_timestamp").alias("hour"),
-        poll_key("feed_timestamp").alias("poll"),
+        poll_key(truncate_epoch("feed_timestamp", POLL_SECONDS)).alias("poll"),
     )
 
 
