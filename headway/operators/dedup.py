@@ -11,7 +11,9 @@ ordered list of columns (all DESC NULLS LAST)":
   filtered to 1 -- the literal form; Spark inserts a partial
   ``WindowGroupLimit`` before the exchange.
 
-Struct comparison is field by field with NULL lowest, so ``max`` of the
+The fact uses the window form (measured faster: no per-row struct
+building); dimensions use the aggregate form.  Both are sort-based and
+skew-safe.  Struct comparison is field by field with NULL lowest, so ``max`` of the
 struct equals the first row under ``ORDER BY c1 DESC NULLS LAST, c2 DESC
 NULLS LAST, ...``.  Ties on every ordering column can only differ in
 columns outside the output, so both forms return identical rows.

@@ -26,3 +26,16 @@ def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     if small.count() <= max_rows:
         return F.broadcast(small)
     return small
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give a scan at least ``factor x defaultParallelism`` partitions.
+
+    A few large files with few row groups yield fewer splits than cores and
+    leave the heavy map-side stages under-parallel; then a round-robin
+    repartition spreads them.  With many input splits (any large dataset)
+    this is a no-op and adds no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

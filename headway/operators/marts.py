@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.dates import service_midnight
 from headway.functions.gtfs_time import seconds_interval
-from headway.operators.dedup import latest_by_aggregate, rank_latest
+from headway.operators.dedup import latest_by_aggregate, latest_by_window, rank_latest
 from headway.operators.versions import (
     attach_versions,
     join_manifest_by_prefix,
@@ -131,7 +131,7 @@ def latest_observation(stg_trip_updates: DataFrame, versions: DataFrame) -> Data
     version is attached with a broadcast equi-join before the dedup
     (map-side, no shuffle) and rides along as a grouping key."""
     obs = attach_versions(_observations(stg_trip_updates), newest_version_per_day(versions))
-    return latest_by_aggregate(obs, EVENT_KEY + ["gtfs_version"], OBS_ORDER)
+    return latest_by_window(obs, EVENT_KEY + ["gtfs_version"], OBS_ORDER)
 
 
 def _with_schedule(deduped: DataFrame, stg_stop_times: DataFrame) -> DataFrame:

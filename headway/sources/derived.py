@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.operators.joins import spread
+from headway.session import checkpoint_root
 from headway.functions.dates import epoch_utc_date, epoch_utc_hour, poll_key, truncate_epoch, ymd
 
 # Fixed values of the derived mapping (shared with the oracle SQL).
@@ -40,6 +42,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    """Projected scan of a large table with a parallelism floor."""
+    return spread(_read(spark, sf_dir, name).select(*columns))
+
+
 def _s(col: Column) -> Column:
     return col.cast("string")
 
@@ -71,8 +78,9 @@ def quarter_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarter_versions(spark, sf_dir).select(
+def manifest(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
+    qv = qv if qv is not None else quarter_versions(spark, sf_dir)
+    return qv.select(
         "version", "downloaded_at", "valid_from", "valid_to"
     )
 
@@ -85,15 +93,20 @@ def _orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order day (shuffle join on the order key)."""
-    lines = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_discount",
-        "l_returnflag",
-        "l_linestatus",
+    lines = _read_spread(
+        spark,
+        sf_dir,
+        "lineitem",
+        [
+            "l_orderkey",
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            "l_quantity",
+            "l_discount",
+            "l_returnflag",
+            "l_linestatus",
+        ],
     )
     return lines.join(
         _orders_by_day(spark, sf_dir), lines.l_orderkey == F.col("o_orderkey")
@@ -164,18 +177,25 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scheduled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed lines with their covering versions, minus the lines a
-    schedule does not list (every 23rd key)."""
-    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+def _scheduled_lines(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
+    """Observed lines with every version covering their day."""
+    lines = _read_spread(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
     o = lines.join(_orders_by_day(spark, sf_dir), lines.l_orderkey == F.col("o_orderkey")).drop(
         "o_orderkey"
     )
-    return _with_covering_versions(o, quarter_versions(spark, sf_dir))
+    return _with_covering_versions(o, qv if qv is not None else quarter_versions(spark, sf_dir))
 
 
-def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _scheduled_lines(spark, sf_dir).where((F.col("l_orderkey") + F.col("l_linenumber")) % 23 != 0)
+def stop_times(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
+    """Every listed (version, trip, sequence) once; schedules do not list
+    every 23rd key.  All text columns are functions of (version, order,
+    line), so the distinct runs on those numeric keys before formatting."""
+    s = (
+        _scheduled_lines(spark, sf_dir, qv)
+        .where((F.col("l_orderkey") + F.col("l_linenumber")) % 23 != 0)
+        .select("gtfs_version", "qm", "l_orderkey", "l_linenumber")
+        .distinct()
+    )
     hh = F.lpad(_s(5 + F.col("l_orderkey") % 21), 2, "0")
     base_min = F.col("l_linenumber") * 5 + F.col("qm")
     return s.select(
@@ -191,12 +211,12 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         _s(F.col("l_linenumber")).alias("stop_sequence"),
         F.col("gtfs_version").alias("version"),
-    ).distinct()
+    )
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
     s = (
-        _scheduled_lines(spark, sf_dir)
+        _scheduled_lines(spark, sf_dir, qv)
         .where((F.col("l_orderkey") + F.col("l_linenumber")) % 23 != 0)
         .select("gtfs_version", "l_orderkey")
         .distinct()
@@ -210,8 +230,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    served = _scheduled_lines(spark, sf_dir).select("gtfs_version", "qm", "qyear", "l_suppkey").distinct()
+def stops(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
+    served = _scheduled_lines(spark, sf_dir, qv).select("gtfs_version", "qm", "qyear", "l_suppkey").distinct()
     sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     s = served.join(sup, served.l_suppkey == sup.s_suppkey).where(
         (F.col("s_suppkey") + F.col("qyear")) % 9 != 0
@@ -230,10 +250,10 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def routes(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
     od = _orders_by_day(spark, sf_dir)
     served = (
-        _with_covering_versions(od, quarter_versions(spark, sf_dir))
+        _with_covering_versions(od, qv if qv is not None else quarter_versions(spark, sf_dir))
         .select("gtfs_version", "qyear", (F.col("o_orderkey") % N_ROUTES).alias("rk"))
         .distinct()
     )
@@ -249,19 +269,20 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def calendar_dates(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
     od = _orders_by_day(spark, sf_dir)
-    c = _with_covering_versions(od, quarter_versions(spark, sf_dir))
+    c = _with_covering_versions(od, qv if qv is not None else quarter_versions(spark, sf_dir))
+    c = c.select("gtfs_version", (F.col("o_orderkey") % 4).alias("sid"), "day").distinct()
     return c.select(
-        _s(F.col("o_orderkey") % 4).alias("service_id"),
+        _s(F.col("sid")).alias("service_id"),
         ymd("day").alias("date"),
         F.lit("1").alias("exception_type"),
         F.col("gtfs_version").alias("version"),
-    ).distinct()
+    )
 
 
 def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events")
+    e = spread(_read(spark, sf_dir, "events"))
     feed_ts = (F.lit(POSITION_EPOCH_BASE) + F.col("event_id") * 60).cast("bigint")
     uid = F.col("user_id")
     out = e.select(
@@ -303,10 +324,24 @@ class DerivedTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
+        self._qv: DataFrame | None = None
 
-    def _get(self, name: str, build) -> DataFrame:
+    @property
+    def quarters(self) -> DataFrame:
+        """The quarter-version table, materialised once in the checkpoint
+        directory (at most four rows per year), so downstream predicates run
+        on those rows rather than being pushed into the ``orders`` scan."""
+        if self._qv is None:
+            checkpoint_root(self.spark)
+            self._qv = quarter_versions(self.spark, self.sf_dir).checkpoint(eager=True)
+        return self._qv
+
+    def _get(self, name: str, build, needs_quarters: bool = True) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = build(self.spark, self.sf_dir)
+            if needs_quarters:
+                self._cache[name] = build(self.spark, self.sf_dir, self.quarters)
+            else:
+                self._cache[name] = build(self.spark, self.sf_dir)
         return self._cache[name]
 
     @property
@@ -335,11 +370,11 @@ class DerivedTables:
 
     @property
     def trip_updates(self) -> DataFrame:
-        return self._get("trip_updates", trip_updates)
+        return self._get("trip_updates", trip_updates, needs_quarters=False)
 
     @property
     def vehicle_positions(self) -> DataFrame:
-        return self._get("vehicle_positions", vehicle_positions)
+        return self._get("vehicle_positions", vehicle_positions, needs_quarters=False)
 
 
 def load_derived(spark: SparkSession, sf_dir: str) -> DerivedTables:
