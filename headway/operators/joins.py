@@ -35,7 +35,9 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     leave the heavy map-side stages under-parallel; then a round-robin
     repartition spreads them.  With many input splits (any large dataset)
     this is a no-op and adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if n < target else df

@@ -57,11 +57,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     a machine-local temporary folder is only used when nothing is configured
     (tests, single-machine benches).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the checkpoint dir
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must be set for this session") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="headway-ckpt-")
     sc.setCheckpointDir(configured)
