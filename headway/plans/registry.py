@@ -106,7 +106,7 @@ def q_validity_window(spark, sf_dir):
 def q_version_dedup_anti(spark, sf_dir):
     """Candidate archives (one per lineitem ship quarter, many duplicates)
     that the manifest does not know yet."""
-    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    li = spark.read.schema(derived.DRIVER_SCHEMAS["lineitem"]).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
     cand = li.select(
         F.md5(F.trunc(F.col("l_shipdate").cast("date"), "quarter").cast("string")).alias("version")
     )
