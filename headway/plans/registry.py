@@ -403,7 +403,7 @@ def q_incremental_fact(spark, sf_dir):
             spark, landing, target, scratch_path(spark, "chk"), per_batch, on_batch, _STREAM_GRANULARITY
         )
     )
-    return rt.read_fact(spark, fact_dir)
+    return rt.read_fact(spark, fact_dir, _STREAM_GRANULARITY)
 
 
 QUERIES: dict[str, Query] = {
