@@ -42,13 +42,17 @@ def _epoch(now: dt.datetime) -> int:
 # ── Freshness ────────────────────────────────────────────────────────────────
 
 
-def latest_rt_feed_timestamp(rt: DataFrame) -> DataFrame:
+def latest_rt_feed_timestamp(rt: DataFrame, since: dt.date | None = None) -> DataFrame:
     """Q1/O3: max ``feed_timestamp`` of the newest poll partition.
 
     The newest (date, hour, poll) is found from partition values only; the
     second read of the same table is filtered on those partition columns,
     which Spark prunes (dynamic partition pruning), so only the newest poll's
-    files are opened for data.  One row; NULL when there is no data."""
+    files are opened for data.  ``since`` restricts the search to
+    ``date >= since`` (static partition pruning), so the cost stays flat as
+    history grows.  One row; NULL when there is no data."""
+    if since is not None:
+        rt = rt.where(F.col("date") >= F.lit(since))
     newest = rt.select(F.max(F.struct("date", "hour", "poll")).alias("p")).select("p.*")
     rows = rt.join(F.broadcast(newest), ["date", "hour", "poll"])
     return rows.agg(F.max("feed_timestamp").alias("latest_feed_timestamp"))
@@ -61,12 +65,13 @@ def rt_freshness_status(
     max_age: dt.timedelta = RT_MAX_AGE,
     tz: str = LOCAL_TZ,
     quiet_hours: Iterable[int] = QUIET_HOURS,
+    since: dt.date | None = None,
 ) -> DataFrame:
     """Q3: one status row per check time: quiet / no_data / fresh / stale.
 
     Quiet hours are checked first on the local wall clock; missing data only
     warns (status ``no_data``); stale means age strictly above ``max_age``."""
-    latest = latest_rt_feed_timestamp(rt)
+    latest = latest_rt_feed_timestamp(rt, since)
     checks = F.explode(
         F.array(*[F.lit(_epoch(t)).cast("bigint") for t in checked_at])
     ).alias("now_epoch")
@@ -125,9 +130,21 @@ def static_freshness_status(
     )
 
 
-def check_rt_freshness(rt: DataFrame, feed: str, now: dt.datetime, max_age: dt.timedelta = RT_MAX_AGE) -> str:
-    """Raise ``StaleDataError`` when stale; return the status otherwise."""
-    row = rt_freshness_status(rt, feed, [now], max_age).first()
+def check_rt_freshness(
+    rt: DataFrame,
+    feed: str,
+    now: dt.datetime,
+    max_age: dt.timedelta = RT_MAX_AGE,
+    lookback: dt.timedelta = dt.timedelta(days=2),
+) -> str:
+    """Raise ``StaleDataError`` when stale; return the status otherwise.
+
+    Only the last ``lookback`` of poll partitions is searched first; the
+    whole history is read only when nothing recent exists."""
+    since = (now.astimezone(dt.timezone.utc) - lookback).date()
+    row = rt_freshness_status(rt, feed, [now], max_age, since=since).first()
+    if row["status"] == "no_data":
+        row = rt_freshness_status(rt, feed, [now], max_age).first()
     if row["status"] == "stale":
         raise StaleDataError(
             f"{feed} feed is stale: last update {row['latest_feed_timestamp']} "

@@ -47,6 +47,15 @@ def test_rt_fresh_stale_nodata_quiet(spark, tmp_root):
     assert quality.check_rt_freshness(empty, "trip_updates", now) == "no_data"
 
 
+def test_old_data_found_beyond_lookback(spark, tmp_root):
+    now = dt.datetime(2026, 8, 30, 10, 0, tzinfo=UTC)
+    rt = _rt(spark, tmp_root, int(dt.datetime(2026, 7, 30, 8, tzinfo=UTC).timestamp()))
+    with pytest.raises(quality.StaleDataError):
+        quality.check_rt_freshness(rt, "trip_updates", now)
+    recent = quality.latest_rt_feed_timestamp(rt, since=dt.date(2026, 8, 28)).first()[0]
+    assert recent is None
+
+
 def test_stale_is_strictly_greater(spark, tmp_root):
     now = dt.datetime(2026, 7, 30, 10, 0, tzinfo=UTC)
     rt = _rt(spark, tmp_root, int(now.timestamp()) - 600)
