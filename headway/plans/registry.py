@@ -21,7 +21,8 @@ from headway import schemas
 from headway.operators import analytics, flatten, marts, quality, staging, versions
 from headway.plans import sinks
 from headway.session import scratch_path
-from headway.sources.readers import read_realtime
+from headway.plans.ingest import ingest_realtime
+from headway.sources.readers import read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
 from headway.plans.warehouse import Marts, Warehouse
 from headway.sources import derived
@@ -332,6 +333,37 @@ def q_mirror_dataset(spark, sf_dir):
     return read_realtime(spark, dst, "vehicle_positions")
 
 
+def q_static_round_trip(spark, sf_dir):
+    """K2 + S5: versioned stop_times written per version (twice: a rerun
+    overwrites its own version partitions) and read back with the explicit
+    all-text schema."""
+    root = scratch_path(spark, "static")
+    st = derived.stop_times(spark, sf_dir)
+    for _ in range(2):
+        sinks.write_static(st, root, "stop_times")
+    return read_static(spark, root, "stop_times")
+
+
+def q_manifest_append(spark, sf_dir):
+    """K3 + S3/S4: the manifest appended in two ingest batches (versions up
+    to 1997, then the rest) and read back."""
+    root = scratch_path(spark, "manifest")
+    m = derived.manifest(spark, sf_dir)
+    early = F.col("downloaded_at") < F.lit("1998")
+    sinks.append_manifest(m.where(early), root)
+    sinks.append_manifest(m.where(~early), root)
+    return read_manifest(spark, root)
+
+
+def q_ingest_realtime(spark, sf_dir):
+    """Nested vehicle-position messages flattened and landed into poll
+    partitions, then read back from the landing zone."""
+    root = scratch_path(spark, "rt")
+    msgs = flatten.nest_vehicle_positions(derived.vehicle_positions(spark, sf_dir).select(*_VP_FLAT))
+    ingest_realtime(msgs, root, "vehicle_positions", poll_seconds=derived.POLL_SECONDS)
+    return read_realtime(spark, root, "vehicle_positions")
+
+
 # ── streaming ────────────────────────────────────────────────────────────────
 
 
@@ -444,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "write_idempotent": q_write_idempotent,
     "publish_marts": q_publish_marts,
     "mirror_dataset": q_mirror_dataset,
+    "static_round_trip": q_static_round_trip,
+    "manifest_append": q_manifest_append,
+    "ingest_realtime": q_ingest_realtime,
     "stream_flatten": q_stream_flatten,
     "stream_latest_observation": q_stream_latest_observation,
     "incremental_fact": q_incremental_fact,
