@@ -45,17 +45,15 @@ def _epoch(now: dt.datetime) -> int:
 def latest_rt_feed_timestamp(rt: DataFrame, since: dt.date | None = None) -> DataFrame:
     """Q1/O3: max ``feed_timestamp`` of the newest poll partition.
 
-    The newest (date, hour, poll) is found from partition values only; the
-    second read of the same table is filtered on those partition columns,
-    which Spark prunes (dynamic partition pruning), so only the newest poll's
-    files are opened for data.  ``since`` restricts the search to
-    ``date >= since`` (static partition pruning), so the cost stays flat as
+    ``max(struct(date, hour, poll, feed_timestamp))`` orders by the poll
+    first, so its last field is the newest poll's maximum: one pass, partial
+    aggregation (one row per task), no join.  ``since`` restricts the scan to
+    ``date >= since`` by static partition pruning, so the cost stays flat as
     history grows.  One row; NULL when there is no data."""
     if since is not None:
         rt = rt.where(F.col("date") >= F.lit(since))
-    newest = rt.select(F.max(F.struct("date", "hour", "poll")).alias("p")).select("p.*")
-    rows = rt.join(F.broadcast(newest), ["date", "hour", "poll"])
-    return rows.agg(F.max("feed_timestamp").alias("latest_feed_timestamp"))
+    newest = F.max(F.struct("date", "hour", "poll", "feed_timestamp"))
+    return rt.agg(newest.alias("p")).select(F.col("p.feed_timestamp").alias("latest_feed_timestamp"))
 
 
 def rt_freshness_status(

@@ -412,7 +412,9 @@ def q_stream_latest_observation(spark, sf_dir):
             spark, landing, target, scratch_path(spark, "chk"), per_batch, granularity=_STREAM_GRANULARITY
         )
     )
-    return rt.read_latest(spark, target, _STREAM_GRANULARITY).select(
+    # Merge-on-read batches appended; compact once, then read the rows as stored.
+    rt.compact_latest(spark, target, granularity=_STREAM_GRANULARITY)
+    return rt.read_latest(spark, target, _STREAM_GRANULARITY, dedup=False).select(
         "service_date", "trip_id", "route_id", "direction_id", "stop_sequence", "stop_id",
         "vehicle_id", "vehicle_label", "arrival_delay", "departure_delay", "feed_timestamp",
     )
