@@ -116,7 +116,7 @@ def _observations(stg_trip_updates: DataFrame) -> DataFrame:
     return stg_trip_updates.where(F.col("service_date").isNotNull()).select(*_OBS_COLUMNS)
 
 
-def version_match(stg_trip_updates: DataFrame, versions: DataFrame) -> DataFrame:
+def rank_observation_versions(stg_trip_updates: DataFrame, versions: DataFrame) -> DataFrame:
     """M4a (literal): every observation x covering version, ranked per event
     by newest poll, then newest download."""
     joined = attach_versions(_observations(stg_trip_updates), version_days(versions))
@@ -178,5 +178,5 @@ def fct_range(
     stg_trip_updates: DataFrame, versions: DataFrame, stg_stop_times: DataFrame
 ) -> DataFrame:
     """M4, literal form: range join, rank over the multiplied rows, rn = 1."""
-    ranked = version_match(stg_trip_updates, versions)
+    ranked = rank_observation_versions(stg_trip_updates, versions)
     return _with_schedule(ranked.where(F.col("rn") == 1).drop("rn"), stg_stop_times)

@@ -134,7 +134,7 @@ _MATCH_COLUMNS = [
 
 def q_version_match_range(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    vm = marts.version_match(wh.stg_trip_updates, wh.stg_gtfs_versions)
+    vm = marts.rank_observation_versions(wh.stg_trip_updates, wh.stg_gtfs_versions)
     return vm.select(*_MATCH_COLUMNS, F.col("rn").cast("bigint").alias("rn"))
 
 
