@@ -52,3 +52,21 @@ def test_gtfs_time_past_midnight(spark):
     ).collect()
     assert r[0].s == 90900 and str(r[0].ts) == "2026-07-31 01:15:00"
     assert r[1].s == 29130
+
+
+def test_bucket_and_on_time_boundaries(spark):
+    from headway.functions.buckets import delay_bucket_label, delay_bucket_order, is_on_time
+
+    d = F.col("d")
+    rows = {
+        r.d: (r.label, r.order, r.on_time)
+        for r in spark.createDataFrame([(v,) for v in (-61, -60, -1, 0, 59, 60, 299, 300, 301, 599, 600)], "d int")
+        .select("d", delay_bucket_label(d).alias("label"), delay_bucket_order(d).alias("order"), is_on_time(d).alias("on_time"))
+        .collect()
+    }
+    assert rows[-61] == ("< -1 min (early)", 1, False)
+    assert rows[-60] == ("-1 to 0 min", 2, True)
+    assert rows[0][1] == 3 and rows[60][1] == 4
+    assert rows[300] == ("5 to 10 min", 6, True)  # on time, yet in the 5-10 bucket
+    assert rows[301] == ("5 to 10 min", 6, False)
+    assert rows[600] == ("> 10 min (late)", 7, False)
