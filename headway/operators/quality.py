@@ -269,3 +269,8 @@ def read_mart_or_none(spark, path: str) -> DataFrame | None:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             return None
         raise
+
+
+def readiness_of_root(spark, root: str, tables: Sequence[str]) -> DataFrame:
+    """Q9 over a stored warehouse: each mart directory under ``root``."""
+    return mart_readiness(spark, {t: read_mart_or_none(spark, f"{root.rstrip('/')}/{t}") for t in tables})
