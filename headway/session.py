@@ -7,7 +7,6 @@ setting is missing (local tests and benches).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,10 +77,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/headway-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_local_dir(path: str) -> str:
-    """Create a local directory for ``file:`` or plain paths; no-op otherwise."""
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
