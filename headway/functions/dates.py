@@ -27,7 +27,7 @@ def parse_yyyymmdd(col: Column | str, strict: bool = True) -> Column:
     c = F.nullif(_c(col), F.lit(""))
     if strict:
         return F.to_date(c, "yyyyMMdd")
-    return F.try_to_date(c, F.lit("yyyyMMdd"))
+    return F.try_to_date(c, "yyyyMMdd")
 
 
 def ymd(col: Column | str) -> Column:

@@ -13,23 +13,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _part(col: Column, n: int) -> Column:
-    # split_part with an ANSI cast: junk raises, as in the reference engine.
-    return F.split_part(col, F.lit(":"), F.lit(n)).cast("int")
+def _part(col: Column, n: int, strict: bool = True) -> Column:
+    # split_part with an ANSI cast: junk raises, as in the reference engine;
+    # strict=False turns junk into NULL instead.
+    p = F.split_part(col, F.lit(":"), F.lit(n))
+    return p.cast("int") if strict else p.try_cast("int")
 
 
-def gtfs_time_seconds(col: Column | str) -> Column:
+def gtfs_time_seconds(col: Column | str, strict: bool = True) -> Column:
     """Seconds after service-day midnight, as BIGINT (``25:15:00`` -> 90900)."""
     c = F.col(col) if isinstance(col, str) else col
-    return (
-        _part(c, 1).cast("bigint") * 3600 + _part(c, 2).cast("bigint") * 60 + _part(c, 3)
-    ).cast("bigint")
+    h, m, s = (_part(c, i, strict) for i in (1, 2, 3))
+    return (h.cast("bigint") * 3600 + m.cast("bigint") * 60 + s).cast("bigint")
 
 
-def gtfs_time_to_interval(col: Column | str) -> Column:
+def gtfs_time_to_interval(col: Column | str, strict: bool = True) -> Column:
     """Day-time interval after service-day midnight; hours >= 24 allowed."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.make_dt_interval(F.lit(0), _part(c, 1), _part(c, 2), _part(c, 3))
+    return F.make_dt_interval(F.lit(0), *(_part(c, i, strict) for i in (1, 2, 3)))
 
 
 def seconds_interval(col: Column | str) -> Column:

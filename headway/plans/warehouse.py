@@ -23,6 +23,7 @@ MART_TABLES = ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")
 class Warehouse:
     raw: RawTables  # duck-typed: DerivedTables works too
     fact_form: str = "resolved"  # or "range" for the literal range-join form
+    strict: bool = True  # False: malformed text becomes NULL instead of raising
 
     # ── staging ──────────────────────────────────────────────────────────────
     @cached_property
@@ -31,31 +32,31 @@ class Warehouse:
 
     @cached_property
     def stg_stops(self) -> DataFrame:
-        return staging.stg_stops(self.raw.stops)
+        return staging.stg_stops(self.raw.stops, strict=self.strict)
 
     @cached_property
     def stg_routes(self) -> DataFrame:
-        return staging.stg_routes(self.raw.routes)
+        return staging.stg_routes(self.raw.routes, strict=self.strict)
 
     @cached_property
     def stg_trips(self) -> DataFrame:
-        return staging.stg_trips(self.raw.trips)
+        return staging.stg_trips(self.raw.trips, strict=self.strict)
 
     @cached_property
     def stg_stop_times(self) -> DataFrame:
-        return staging.stg_stop_times(self.raw.stop_times)
+        return staging.stg_stop_times(self.raw.stop_times, strict=self.strict)
 
     @cached_property
     def stg_calendar_dates(self) -> DataFrame:
-        return staging.stg_calendar_dates(self.raw.calendar_dates)
+        return staging.stg_calendar_dates(self.raw.calendar_dates, strict=self.strict)
 
     @cached_property
     def stg_trip_updates(self) -> DataFrame:
-        return staging.stg_trip_updates(self.raw.trip_updates)
+        return staging.stg_trip_updates(self.raw.trip_updates, strict=self.strict)
 
     @cached_property
     def stg_vehicle_positions(self) -> DataFrame:
-        return staging.stg_vehicle_positions(self.raw.vehicle_positions)
+        return staging.stg_vehicle_positions(self.raw.vehicle_positions, strict=self.strict)
 
     # ── marts ────────────────────────────────────────────────────────────────
     @cached_property

@@ -118,3 +118,20 @@ def test_empty_window_version_never_matches(spark, golden):
         "version string, downloaded_at string, valid_from string, valid_to string",
     )
     assert version_days(v).count() == 0
+
+
+def test_strict_and_tolerant_staging(spark):
+    import pytest
+    from headway.operators import staging
+
+    st = spark.createDataFrame(
+        [("t", "8:xx:00", "08:01:00", "S1", "1", "v"), ("t", "08:05:00", "08:06:00", "S1", "2", "v")],
+        "trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence string, version string",
+    )
+    with pytest.raises(Exception):
+        staging.stg_stop_times(st).collect()
+    rows = sorted(staging.stg_stop_times(st, as_seconds=True, strict=False).collect(), key=lambda r: r.stop_sequence)
+    assert rows[0].arrival_secs is None and rows[1].arrival_secs == 29100
+    cal = spark.createDataFrame([("1", "2026-07-30", "x", "v")], "service_id string, date string, exception_type string, version string")
+    r = staging.stg_calendar_dates(cal, strict=False).first()
+    assert r.service_date is None and r.exception_type is None
