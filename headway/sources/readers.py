@@ -105,8 +105,17 @@ class RawTables:
     vehicle_positions: DataFrame
 
 
-def load_landing(spark: SparkSession, root: str) -> RawTables:
-    """All raw tables of a landing zone."""
+def load_landing(spark: SparkSession, root: str, since=None) -> RawTables:
+    """All raw tables of a landing zone.
+
+    ``since`` (a date) restricts both realtime feeds to ``date >= since``:
+    a partition filter, so older polls are never listed for reading.  Use it
+    with the streaming/incremental marts to rebuild only recent dates."""
+    rt = {f: read_realtime(spark, root, f) for f in ("trip_updates", "vehicle_positions")}
+    if since is not None:
+        from pyspark.sql import functions as F
+
+        rt = {f: df.where(F.col("date") >= F.lit(since)) for f, df in rt.items()}
     return RawTables(
         versions=read_manifest(spark, root),
         stops=read_static(spark, root, "stops"),
@@ -114,6 +123,6 @@ def load_landing(spark: SparkSession, root: str) -> RawTables:
         trips=read_static(spark, root, "trips"),
         stop_times=read_static(spark, root, "stop_times"),
         calendar_dates=read_static(spark, root, "calendar_dates"),
-        trip_updates=read_realtime(spark, root, "trip_updates"),
-        vehicle_positions=read_realtime(spark, root, "vehicle_positions"),
+        trip_updates=rt["trip_updates"],
+        vehicle_positions=rt["vehicle_positions"],
     )

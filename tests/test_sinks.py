@@ -105,3 +105,19 @@ def test_append_manifest(spark, tmp_root):
     sinks.append_manifest(rows.withColumn("version", F.lit("b" * 64)), tmp_root)
     assert read_manifest(spark, tmp_root).count() == 2
     assert os.path.isdir(f"{tmp_root}/gtfs_static/versions")
+
+
+def test_since_prunes_realtime_partitions(spark, golden_root):
+    import datetime as dt
+    import io
+    from contextlib import redirect_stdout
+
+    from headway.sources.readers import load_landing
+
+    raw = load_landing(spark, golden_root, since=dt.date(2026, 7, 31))
+    assert raw.trip_updates.count() == 0
+    assert load_landing(spark, golden_root, since=dt.date(2026, 7, 30)).trip_updates.count() == 3
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        raw.trip_updates.explain()
+    assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
