@@ -6,9 +6,9 @@
            run one dashboard query over stored marts and print it
            (punctuality_by_route, punctuality_by_hour, punctuality_by_stop,
            delay_distribution, total_stop_events)
-  check    --root LANDING --warehouse WAREHOUSE [--now ISO]
-           freshness of both realtime feeds and the schedule, data tests,
-           mart readiness
+  check    --root LANDING --warehouse WAREHOUSE [--now ISO] [--bounds-severity warn]
+           freshness of both realtime feeds and the schedule, mart readiness,
+           and every data test of the marts (exit status 1 when one fails)
   ingest   --root LANDING --archives GLOB [--now ISO]
            ingest schedule archives (zip files)
   publish  --warehouse WAREHOUSE --target ROOT
@@ -62,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--root", required=True)
     c.add_argument("--warehouse", required=True)
     c.add_argument("--now")
+    c.add_argument("--bounds-severity", default="error", choices=("error", "warn"))
     i = sub.add_parser("ingest")
     i.add_argument("--root", required=True)
     i.add_argument("--archives", required=True)
@@ -83,6 +84,11 @@ def main(argv: list[str] | None = None) -> int:
             quality.rt_freshness_status(read_realtime(spark, args.root, feed), feed, [now], since=since).show(truncate=False)
         quality.static_freshness_status(read_manifest(spark, args.root), [now]).show(truncate=False)
         quality.readiness_of_root(spark, args.warehouse, MART_TABLES).show(truncate=False)
+        if all(r.status == "ready" for r in quality.readiness_of_root(spark, args.warehouse, MART_TABLES).collect()):
+            summary = quality.data_test_summary(Marts.read(spark, args.warehouse), args.bounds_severity)
+            summary.show(50, truncate=False)
+            if summary.where("status = 'fail'").count() > 0:
+                return 1
     elif args.cmd == "ingest":
         ingest_archives(spark, args.archives, args.root, now=_now(args.now)).show(truncate=False)
     elif args.cmd == "publish":

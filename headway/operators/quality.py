@@ -274,3 +274,55 @@ def read_mart_or_none(spark, path: str) -> DataFrame | None:
 def readiness_of_root(spark, root: str, tables: Sequence[str]) -> DataFrame:
     """Q9 over a stored warehouse: each mart directory under ``root``."""
     return mart_readiness(spark, {t: read_mart_or_none(spark, f"{root.rstrip('/')}/{t}") for t in tables})
+
+
+# The declared tests of the marts (model -> columns).
+UNIQUE_TESTS = {"dim_stops": ["stop_id"], "dim_routes": ["route_id"]}
+NOT_NULL_TESTS = {
+    "dim_stops": ["stop_id", "stop_name"],
+    "dim_routes": ["route_id", "route_short_name"],
+    "dim_trips": ["trip_id", "route_id"],
+    "fct_stop_events": ["trip_id", "stop_id", "service_date", "scheduled_arrival"],
+}
+# (child model, column, parent model, parent column)
+RELATIONSHIP_TESTS = [
+    ("dim_trips", "route_id", "dim_routes", "route_id"),
+    ("fct_stop_events", "stop_id", "dim_stops", "stop_id"),
+]
+
+
+def unique_summary(marts) -> DataFrame:
+    return union_all(
+        [
+            summarize(m, "unique", c, unique_failures(getattr(marts, m), c))
+            for m, cols in UNIQUE_TESTS.items()
+            for c in cols
+        ]
+    )
+
+
+def not_null_summaries(marts) -> DataFrame:
+    return union_all([not_null_summary(m, getattr(marts, m), cols) for m, cols in NOT_NULL_TESTS.items()])
+
+
+def relationship_summary(marts) -> DataFrame:
+    return union_all(
+        [
+            summarize(child, "relationships", col, relationship_failures(getattr(marts, child), col, getattr(marts, parent), field))
+            for child, col, parent, field in RELATIONSHIP_TESTS
+        ]
+    )
+
+
+def data_test_summary(marts, bounds_severity: str = "error") -> DataFrame:
+    """Every declared test of the marts, one summary row each: unique,
+    not_null, relationships, and the delay-bounds canary (whose severity is
+    a parameter: ``error`` fails, ``warn`` only warns)."""
+    bounds = summarize(
+        "fct_stop_events",
+        "delay_bounds",
+        "arrival_delay_seconds",
+        delay_bound_violations(marts.fct_stop_events),
+        severity=bounds_severity,
+    )
+    return union_all([unique_summary(marts), not_null_summaries(marts), relationship_summary(marts), bounds])

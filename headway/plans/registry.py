@@ -229,50 +229,15 @@ def q_static_freshness(spark, sf_dir):
 
 
 def q_check_unique(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all(
-        [
-            quality.summarize("dim_stops", "unique", "stop_id", quality.unique_failures(wh.dim_stops, "stop_id")),
-            quality.summarize(
-                "dim_routes", "unique", "route_id", quality.unique_failures(wh.dim_routes, "route_id")
-            ),
-        ]
-    )
-
-
-NOT_NULL_TESTS = {
-    "dim_stops": ["stop_id", "stop_name"],
-    "dim_routes": ["route_id", "route_short_name"],
-    "dim_trips": ["trip_id", "route_id"],
-    "fct_stop_events": ["trip_id", "stop_id", "service_date", "scheduled_arrival"],
-}
+    return quality.unique_summary(_wh(spark, sf_dir))
 
 
 def q_check_not_null(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all(
-        [quality.not_null_summary(m, wh.mart(m), cols) for m, cols in NOT_NULL_TESTS.items()]
-    )
+    return quality.not_null_summaries(_wh(spark, sf_dir))
 
 
 def q_check_relationships(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.union_all(
-        [
-            quality.summarize(
-                "dim_trips",
-                "relationships",
-                "route_id",
-                quality.relationship_failures(wh.dim_trips, "route_id", wh.dim_routes, "route_id"),
-            ),
-            quality.summarize(
-                "fct_stop_events",
-                "relationships",
-                "stop_id",
-                quality.relationship_failures(wh.fct_stop_events, "stop_id", wh.dim_stops, "stop_id"),
-            ),
-        ]
-    )
+    return quality.relationship_summary(_wh(spark, sf_dir))
 
 
 def q_check_delay_bounds(spark, sf_dir):

@@ -108,3 +108,9 @@ def test_mart_readiness(spark, golden, tmp_path):
     }
     got = {r.table_name: (r.status, r.n_rows) for r in quality.mart_readiness(spark, frames).collect()}
     assert got == {"fct_stop_events": ("ready", 3), "empty": ("empty", 0), "missing": ("missing", None)}
+
+
+def test_data_test_summary_covers_all_declared_tests(spark, golden):
+    rows = quality.data_test_summary(golden, bounds_severity="warn").collect()
+    assert len(rows) == 15  # 2 unique + 10 not_null + 2 relationships + 1 bounds
+    assert all(r.status == "pass" for r in rows)
