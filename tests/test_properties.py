@@ -70,3 +70,43 @@ def test_bucket_and_on_time_boundaries(spark):
     assert rows[300] == ("5 to 10 min", 6, True)  # on time, yet in the 5-10 bucket
     assert rows[301] == ("5 to 10 min", 6, False)
     assert rows[600] == ("> 10 min (late)", 7, False)
+
+
+def test_resolved_and_literal_fact_agree_on_random_observations(spark, golden):
+    """Random polls with many feed_timestamp ties, NULL delays, SKIPPED stops,
+    empty start dates and dates outside every version window."""
+    from headway import schemas
+    from headway.operators import staging
+
+    rng = random.Random(11)
+    days = ["20260720", "20260728", "20260730", "20260731", "20260805", "20260811", ""]
+    rows = []
+    for _ in range(300):
+        trip = rng.choice(["trip-1", "trip-night"])
+        seq = rng.choice([1, 2])
+        delay = rng.choice([None, -30, 0, 60, 60, 120, 4000])
+        rows.append(
+            (
+                1785427200 + rng.randint(0, 3) * 60,  # few distinct timestamps: many ties
+                rng.choice(["e1", "e2"]),
+                trip,
+                "T1",
+                rng.choice([0, 1]),
+                rng.choice(days),
+                "08:00:00",
+                rng.choice(["tram-01", "tram-02"]),
+                rng.choice(["Tram 01", "Tram 02"]),
+                seq,
+                rng.choice(["S1", "S2"]),
+                delay,
+                None,
+                rng.choice([None, delay, 15]),
+                None,
+                rng.choice([0, 0, 0, 1]),
+            )
+        )
+    tu = staging.stg_trip_updates(spark.createDataFrame(rows, schemas.TRIP_UPDATES))
+    a = marts.fct_stop_events(tu, golden.stg_gtfs_versions, golden.stg_stop_times)
+    b = marts.fct_range(tu, golden.stg_gtfs_versions, golden.stg_stop_times)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
