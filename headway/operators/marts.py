@@ -70,17 +70,17 @@ FACT_COLUMNS = [
 # ── Dimensions ───────────────────────────────────────────────────────────────
 
 
-def dim_stops(stg_stops: DataFrame, versions: DataFrame) -> DataFrame:
+def dim_stops(stg_stops: DataFrame, versions: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """M1: latest attributes per stop across all versions (J2 + W1)."""
-    s = join_manifest_by_prefix(stg_stops, versions)
+    s = join_manifest_by_prefix(stg_stops, versions, manifest)
     return latest_by_aggregate(
         s, ["stop_id"], ["downloaded_at", "version", "stop_name", "stop_lat", "stop_lon"]
     ).select("stop_id", "stop_name", "stop_lat", "stop_lon")
 
 
-def dim_routes(stg_routes: DataFrame, versions: DataFrame) -> DataFrame:
+def dim_routes(stg_routes: DataFrame, versions: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """M2: latest attributes per route across all versions (J2 + W1)."""
-    r = join_manifest_by_prefix(stg_routes, versions)
+    r = join_manifest_by_prefix(stg_routes, versions, manifest)
     return latest_by_aggregate(
         r, ["route_id"], ["downloaded_at", "version", "route_short_name", "route_type"]
     ).select("route_id", "route_short_name", "route_type")

@@ -95,9 +95,13 @@ def attach_versions(df: DataFrame, day_versions: DataFrame) -> DataFrame:
     return df.join(broadcast_bounded(day_versions), "service_date")
 
 
-def join_manifest_by_prefix(df: DataFrame, versions: DataFrame) -> DataFrame:
-    """Attach ``downloaded_at`` by ``left(manifest.version, 12) = version``."""
-    m = broadcast_bounded(
-        versions.select(version_prefix("version").alias("version"), "downloaded_at")
-    )
-    return df.join(m, "version")
+def manifest_by_prefix(versions: DataFrame) -> DataFrame:
+    """(12-char version, downloaded_at), materialised and size-checked for
+    broadcast; build once and share between joins."""
+    return broadcast_bounded(versions.select(version_prefix("version").alias("version"), "downloaded_at"))
+
+
+def join_manifest_by_prefix(df: DataFrame, versions: DataFrame, bounded: DataFrame | None = None) -> DataFrame:
+    """Attach ``downloaded_at`` by ``left(manifest.version, 12) = version``.
+    ``bounded`` is a ready ``manifest_by_prefix`` result to reuse."""
+    return df.join(bounded if bounded is not None else manifest_by_prefix(versions), "version")

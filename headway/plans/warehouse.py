@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.operators import analytics, marts, staging
+from headway.operators import analytics, marts, staging, versions
 from headway.sources.readers import RawTables  # or any object with the same attributes
 
 MART_TABLES = ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")
@@ -59,13 +59,18 @@ class Warehouse:
         return staging.stg_vehicle_positions(self.raw.vehicle_positions, strict=self.strict)
 
     # ── marts ────────────────────────────────────────────────────────────────
+    @cached_property
+    def manifest_by_prefix(self) -> DataFrame:
+        """The size-checked manifest, materialised once for both dimensions."""
+        return versions.manifest_by_prefix(self.stg_gtfs_versions)
+
     @cached_property
     def dim_stops(self) -> DataFrame:
-        return marts.dim_stops(self.stg_stops, self.stg_gtfs_versions)
+        return marts.dim_stops(self.stg_stops, self.stg_gtfs_versions, self.manifest_by_prefix)
 
     @cached_property
     def dim_routes(self) -> DataFrame:
-        return marts.dim_routes(self.stg_routes, self.stg_gtfs_versions)
+        return marts.dim_routes(self.stg_routes, self.stg_gtfs_versions, self.manifest_by_prefix)
 
     @cached_property
     def dim_trips(self) -> DataFrame:
