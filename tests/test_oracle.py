@@ -20,7 +20,7 @@ def test_all_queries_match_oracle(spark):
     res = run(spark, SF, verbose=False)
     sql = entry.oracle_sql()
     assert set(sql) <= set(entry.queries())
-    bad = {k: v for k, v in res.items() if k in sql and not (v["schema"] and v["values"] and v["rows"] == v["oracle_rows"])}
+    bad = {k: v for k, v in res.items() if k in sql and not (v["schema"] and v["types"] and v["values"] and v["rows"] == v["oracle_rows"])}
     assert bad == {}
 
 
