@@ -6,24 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import mixing, sharding
+from headway.llm import mixing, ngram_quality, order_minhash, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ngram_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_prefix_shards(table(spark, sf_dir, "documents"))
 
 
+def op8_order_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_budget_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.budget_prefix_mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op7_byte_prefix_shards": op7_byte_prefix_shards,
-    "op10_budget_prefix_mix": op10_budget_prefix_mix,
+    f.__name__: f
+    for f in (
+        op2_ngram_ftrl_quality,
+        op7_byte_prefix_shards,
+        op8_order_minhash_dedup,
+        op10_budget_prefix_mix,
+    )
 }
 
 #: DuckDB SQL where SQL can express the operator.

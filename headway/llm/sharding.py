@@ -44,16 +44,10 @@ def byte_prefix_shards(
         F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("text_key"),
     )
     rows = materialise(global_prefix(sized, ["text_key", "doc_id"], "size", "shards"), "shards-prefix")
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))  # one row
-    cut = rows.crossJoin(F.broadcast(total)).withColumn(
+    total = rows.agg(F.sum("size")).first()[0] or 1  # one number
+    cut = rows.withColumn(
         "shard",
-        F.when(
-            F.col("total") > 0,
-            F.least(
-                F.expr(f"((2 * before + size) * {shards}L) div (2 * total)"),
-                F.lit(shards - 1).cast("long"),
-            ),
-        ),
+        F.least(F.expr(f"((2 * before + size) * {shards}L) div {2 * total}L"), F.lit(shards - 1).cast("long")),
     )
     # The first and last row of each shard (at most one row a shard each).
     ends = cut.groupBy("shard").agg(
@@ -67,10 +61,9 @@ def byte_prefix_shards(
         .agg(
             F.min("before").alias("start"),
             F.max(F.col("before") + F.col("size")).alias("end"),
-            F.max("total").alias("all_bytes"),
         )
-        .where(f"(end - start) * {shards}D <= all_bytes * {whole_share}D")
-        .select("text_key", F.expr(f"((start + end) * {shards}L) div (2 * all_bytes)").alias("whole"))
+        .where(f"(end - start) * {shards}D <= {total * whole_share}D")
+        .select("text_key", F.expr(f"((start + end) * {shards}L) div {2 * total}L").alias("whole"))
     )  # at most one group a cut
     placed = (
         cut.join(F.broadcast(groups), "text_key", "left")
