@@ -55,8 +55,9 @@ def budget_prefix_mix(
     share: float = 1.5,
     limit: float = 2.0,
     seed: int = 17,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken.
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, and the columns ``keep``.
 
     ``taken``: words that the mix takes from the document, repeats counted:
     whole epochs of the source, plus, of the last epoch, what lies before the
@@ -70,6 +71,7 @@ def budget_prefix_mix(
     sized = docs.select(
         "doc_id",
         "source",
+        *keep,
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("draw"),
     ).withColumn("_none", F.col("source").isNull())
@@ -86,7 +88,34 @@ def budget_prefix_mix(
         rows.join(targets, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("_epochs", epochs)
         .withColumn("taken", F.col("_epochs") * F.col("size") + part)
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select("doc_id", "source", *keep, "size", "source_size", "target", "taken")
+    )
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix itself: each row of ``docs`` as many times as its words are taken.
+
+    The document at a source's cut is kept whole if at least half of it is
+    taken.  Documents without words hold nothing to take and go.  Rows equal in
+    doc_id, source and text share their copies evenly.
+    """
+    own = docs.withColumn("_text_key", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    copies = (
+        budget_prefix_mix(own, keep=("_text_key",))
+        .where("size > 0")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_text_key").alias("_key"))
+        .agg(F.round(F.avg(F.round(F.col("taken") / F.col("size")))).cast("int").alias("_copies"))
+        .where("_copies > 0")
+    )
+    same = (
+        (F.col("_text_key") == F.col("_key"))
+        & F.col("doc_id").eqNullSafe(F.col("_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+    )
+    return (
+        own.join(copies, same)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(*docs.columns)
     )
 
 

@@ -209,6 +209,27 @@ def score(docs: DataFrame, weights: np.ndarray, id_columns: list[str]) -> DataFr
     return kept.mapInArrow(run, schema)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_train: int = 8000) -> DataFrame:
+    """Rows of ``docs`` with a score of at least ``threshold``, all columns as they are."""
+    weights = train_on_known(docs, labels, max_train)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_logistic(margins(w, weights)) >= threshold for w in words_of(batch.column("text"))]
+            yield batch.filter(pa.array(np.concatenate(found) if found else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def is_held_out() -> F.Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def train_on_known(docs: DataFrame, labels: DataFrame, max_train: int) -> np.ndarray:
+    known = labels.select("doc_id", F.col("quality").alias("label")).where(~is_held_out())
+    return train(docs.select("doc_id", "text"), known, max_train)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, max_train: int = 8000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted.
 
@@ -216,9 +237,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, m
     doc_id: scored, never held out, has no label.  Repeated rows: each scored.
     Empty tables: empty result.  Extra columns are not looked at.
     """
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    known = labels.select("doc_id", F.col("quality").alias("label")).where(~held)
-    weights = train(docs.select("doc_id", "text"), known, max_train)
+    weights = train_on_known(docs, labels, max_train)
     return score(docs.select("doc_id", "text"), weights, ["doc_id"]).select(
-        "doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        "doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import mixing, ngram_quality, order_minhash, sharding
+from headway.llm import decontaminate, mixing, ngram_quality, order_minhash, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_ngram_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_prefix_shards(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_ngram_ftrl_quality,
+        op4_seed_align_decontamination,
         op7_byte_prefix_shards,
         op8_order_minhash_dedup,
         op10_budget_prefix_mix,
