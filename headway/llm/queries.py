@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, mixing, ngram_quality, order_minhash, sharding
+from headway.llm import decontaminate, hmm, mixing, ngram_quality, order_minhash, sharding, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.hmm_scores(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_prefix_shards(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op8_order_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_budget_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.budget_prefix_mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -38,13 +46,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_ngram_ftrl_quality,
         op4_seed_align_decontamination,
+        op5_hmm_scoring,
         op7_byte_prefix_shards,
         op8_order_minhash_dedup,
+        op9_suffix_tree_dedup,
         op10_budget_prefix_mix,
     )
 }
 
 #: DuckDB SQL where SQL can express the operator.
 ORACLES: dict[str, str] = {
+    "op9_suffix_tree_dedup": suffix_dedup.ORACLE_SUFFIX,
     "op10_budget_prefix_mix": mixing.ORACLE_MIX,
 }
