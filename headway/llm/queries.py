@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, hmm, mixing, ngram_quality, order_minhash, sharding, suffix_dedup
+from headway.llm import ads_search, decontaminate, hmm, mixing, ngram_quality, order_minhash, sharding, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def op2_ngram_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_warc_gzip_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
 def op4_seed_align_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,7 +52,9 @@ def op10_budget_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_adaptive_dimension_scan,
         op2_ngram_ftrl_quality,
+        op3_warc_gzip_normalise,
         op4_seed_align_decontamination,
         op5_hmm_scoring,
         op7_byte_prefix_shards,
@@ -56,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL where SQL can express the operator.
 ORACLES: dict[str, str] = {
+    "op3_warc_gzip_normalise": warc.ORACLE_WARC,
     "op9_suffix_tree_dedup": suffix_dedup.ORACLE_SUFFIX,
     "op10_budget_prefix_mix": mixing.ORACLE_MIX,
 }
