@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import ads_search, decontaminate, hmm, mixing, ngram_quality, order_minhash, sharding, suffix_dedup, warc
+from headway.llm import ads_search, decontaminate, hmm, mixing, ngram_quality, order_minhash, sharding, suffix_dedup, template_extraction, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.hmm_scores(table(spark, sf_dir, "documents"))
 
 
+def op6_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_prefix_shards(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_warc_gzip_normalise,
         op4_seed_align_decontamination,
         op5_hmm_scoring,
+        op6_template_extraction,
         op7_byte_prefix_shards,
         op8_order_minhash_dedup,
         op9_suffix_tree_dedup,
