@@ -15,15 +15,14 @@ def shared_root(spark: SparkSession) -> str:
     process, so it is shared); any other master is refused, because a folder of
     the driver's machine would be invisible to the executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local[") and master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    root = tempfile.mkdtemp(prefix="headway-llm-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="headway-llm-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,141 @@
+"""Near duplicates and repeated substrings against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import components, order_minhash, suffix_dedup
+from tests.llm.conftest import as_documents, prose
+from tests.llm.test_alignment import table
+
+
+def plain(text):
+    words = (re.sub(r"^[^\w]+|[^\w]+$", "", w.lower()) for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    return [w for w in words if w]
+
+
+def edited(text, seed, share):
+    rnd, words = random.Random(seed), text.split()
+    for k in range(len(words)):
+        if rnd.random() < share:
+            words[k] = rnd.choice(["new", words[k].upper() + "!", f"x{rnd.randrange(99)}"])
+    return " ".join(words)
+
+
+def brute_classes(rows):
+    words = [plain(t) for _, t, _ in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = words[a], words[b]
+            longer = max(len(x), len(y))
+            same = (rows[a][1] or "") == (rows[b][1] or "")
+            if same or (longer and abs(len(x) - len(y)) <= 0.2 * longer and min(len(x), len(y)) and table(x, y) <= 0.2 * longer + 1e-9):
+                root[find(a)] = find(b)
+    groups = defaultdict(list)
+    for k, r in enumerate(rows):
+        groups[find(k)].append(r[0])
+    return Counter(tuple(sorted(map(str, g))) for g in groups.values())
+
+
+def classes_of(df):
+    groups = defaultdict(list)
+    for r in df.collect():
+        groups[r.root].append(r.doc_id)
+    return Counter(tuple(sorted(map(str, g))) for g in groups.values())
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rows = []
+    for g in range(12):
+        base = prose(100 + g, 60 + 10 * g)
+        rows += [(1000 * g + k, edited(base, k, 0.03 * (k % 4)), "s") for k in range(5)]
+    rows += [(90000 + k, prose(7, 30) + " " + prose(500 + k, 90), "s") for k in range(20)]  # one passage, else unlike
+    found, classes = order_minhash.near_duplicate_classes(as_documents(spark, rows))
+    assert classes_of(found) == brute_classes(rows)
+    assert classes.agg(F.sum("class_rows")).first()[0] == len(rows)
+
+
+def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
+    short = [r for r in odd_rows if len(r[1] or "") < 5000]
+    got = order_minhash.near_duplicates(odd)
+    assert got.columns == ["doc_id", "class_id", "class_rows", "class_texts"]
+    rows = {(r.doc_id, r.class_id): r for r in got.collect()}
+    assert got.count() == len(odd_rows)
+    assert rows[2, 1].class_rows == 3 and rows[2, 1].class_texts == 1
+    assert rows[7, 6].class_texts == 2  # the long texts
+    assert rows[4, 3].class_rows == 2  # empty and null
+    assert (5, 5) in rows and (9, 9) in rows  # no words, but other texts
+    assert rows[None, None].class_rows == 2
+    assert len(short) == len(odd_rows) - 2
+    kept = order_minhash.drop_near_duplicates(odd)
+    assert kept.schema == odd.schema
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 5, None, 6, 8, 9, 10])
+    assert order_minhash.near_duplicates(none).collect() == []
+    assert order_minhash.drop_near_duplicates(none).collect() == []
+
+
+def test_components(spark):
+    rnd = random.Random(3)
+    edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
+    root = {}
+    for a, b in edges:
+        root.setdefault(a, a), root.setdefault(b, b)
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(root[a], root[b])
+            if root[a] != low or root[b] != low:
+                root[a] = root[b] = low
+                changed = True
+    lone = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {k: v for k, v in root.items() if k not in lone}
+    assert components.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def brute_substrings(rows):
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, _ in rows]
+    least = {}
+    big = float("inf")
+    for (i, _, _), w in zip(rows, words, strict=True):
+        for k in range(len(w) - 49):
+            x = tuple(w[k : k + 50])
+            least[x] = min(least.get(x, big), big if i is None else i)
+    out = []
+    for (i, _, _), w in zip(rows, words, strict=True):
+        gone = [False] * len(w)
+        for k in range(len(w) - 49):
+            if least[tuple(w[k : k + 50])] < (big if i is None else i):
+                gone[k : k + 50] = [True] * 50
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("hot", [50_000, 2])
+def test_substrings_equal_brute_force(spark, odd_rows, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    passage, other = prose(70, 64), prose(71, 49)
+    rows = list(odd_rows)
+    rows += [(100 + k, f"{prose(200 + k, k % 60)} {passage}\n{prose(300 + k, 40)}", "s") for k in range(12)]
+    rows += [(200 + k, f"{prose(400 + k, 20)} {other} {prose(500 + k, 20)}", "s") for k in range(4)]  # one word too short
+    rows += [(300 + k, " ".join(["same"] * (40 + 5 * k)), "s") for k in range(6)]
+    rows += [(400, prose(70, 64) * 2 + " " + prose(6, 30), "s"), (401, prose(1, 300), "s"), (401, prose(1, 200), "s")]
+    got = suffix_dedup.substring_dedup(as_documents(spark, rows)).collect()
+    assert Counter(map(tuple, got)) == brute_substrings(rows)
+
+
+def test_substrings_of_nothing(none):
+    assert suffix_dedup.substring_dedup(none).collect() == []
