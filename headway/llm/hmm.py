@@ -41,8 +41,10 @@ LONG_TEXT = 1024
 BLOCK_BYTES = 4 << 20
 #: A state's first probability of staying: evidence then adds up along a text.
 STAY = 0.98
-#: Added to every expected count of an emission or transition.
+#: Added to every expected count of a start or transition; emissions get as many tokens, dealt
+#: by the classes' shares of all training words.
 PRIOR = 0.01
+PRIOR_TOKENS = 2_000.0
 
 _BLOCK_TYPE = "block long, doc_ids array<long>, held array<boolean>, lengths binary, words binary, codes binary, trained binary"
 
@@ -106,8 +108,9 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
-    """Parameters of bounded size.  ``emit``: class x state; ``share`` of a
-    class: (training words + distinct words + 1), 0 for single-word classes."""
+    """Parameters of bounded size.  ``emit``: class x state; ``mass`` of a class:
+    its training words + distinct words + 1, 0 for single-word classes;
+    ``share``: the classes' shares of all training words."""
 
     top: np.ndarray  # sorted hashes of the single-word classes
     begin: np.ndarray
@@ -115,6 +118,7 @@ class Model:
     move: np.ndarray
     emit: np.ndarray
     mass: np.ndarray
+    share: np.ndarray
 
     def classes(self, words: np.ndarray) -> np.ndarray:
         """Class of each word: 0 the end, then the single words, then the hashed."""
@@ -140,7 +144,7 @@ def first_model(top: np.ndarray, class_counts: np.ndarray, class_words: np.ndarr
     """Emissions near the classes' shares, each state tilted at random (fixed seed)."""
     rng = np.random.default_rng(5)
     size = 1 + len(top) + HASHED
-    share = _normal(class_counts[:size] + 0.5, 0)
+    share = _normal(class_counts[:size] + 0.02, 0)
     tilt = rng.uniform(0.5, 1.5, (size, states))
     mass = np.where(np.arange(size) > len(top), class_counts + class_words + 1.0, 0.0)
     return Model(
@@ -150,6 +154,7 @@ def first_model(top: np.ndarray, class_counts: np.ndarray, class_words: np.ndarr
         _normal(rng.uniform(0.5, 1.5, (states, states)) * (1 - STAY) / states + np.eye(states) * STAY, 1),
         _normal(share[:, None] * tilt, 0),
         mass,
+        share,
     )
 
 
@@ -216,7 +221,7 @@ def renewed(model: Model, counts: dict[str, np.ndarray]) -> Model:
         begin=_normal(counts["begin"] + PRIOR, 0),
         resume=_normal(counts["resume"] + PRIOR, 0),
         move=_normal(counts["move"] + PRIOR, 1),
-        emit=_normal(counts["emit"] + PRIOR, 0),
+        emit=_normal(counts["emit"] + PRIOR_TOKENS * model.share[:, None], 0),
     )
 
 
@@ -344,7 +349,7 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
     end = int(END.astype(np.int64))
     common = seen.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(TOP).select("word").collect()
     top = np.sort(np.array([r[0] for r in common], np.int64).view(np.uint64))
-    blank = Model(top, *(np.zeros(0) for _ in range(5)))
+    blank = Model(top, *(np.zeros(0) for _ in range(6)))
 
     def class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 + len(top) + HASHED

@@ -58,12 +58,12 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{3,}")
 _WORDS = re.compile(r"[a-z]+")
 
 
 def _element(tag: str, attributes: str) -> str:
-    """The element's name in paths: tag, then classes and ids with numbers folded."""
+    """The element's name in paths: tag, then classes and ids with long numbers folded."""
     if not attributes or "=" not in attributes:
         return tag
     names = " ".join(x for m in _CLASS.findall(attributes) for x in m if x).lower()
