@@ -38,7 +38,7 @@ STRETCH = 64
 #: Texts of more words are scored by products of transfer matrices.
 LONG_TEXT = 1024
 #: Text bytes of a block of documents.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: A state's first probability of staying: evidence then adds up along a text.
 STAY = 0.98
 #: Added to every expected count of a start or transition; emissions get as many tokens, dealt
@@ -47,54 +47,74 @@ PRIOR = 0.01
 PRIOR_TOKENS = 2_000.0
 
 _BLOCK_TYPE = "block long, doc_ids array<long>, held array<boolean>, lengths binary, words binary, codes binary, trained binary"
+_BLOCK_SCHEMA = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("held", pa.list_(pa.bool_())),
+        ("lengths", pa.binary()),
+        ("words", pa.binary()),
+        ("codes", pa.binary()),
+        ("trained", pa.binary()),
+    ]
+)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * size, codec="zstd", asbytes=True), np.int32) if size else np.zeros(0, np.int32)
+
+
+def _block(number: int, ids: list, held: list[np.ndarray], tokens: list[np.ndarray], lengths: list[np.ndarray]) -> pa.RecordBatch:
+    """Documents as codes into the block's own words, commonest word first."""
+    size, own = np.concatenate(lengths), np.concatenate(held)
+    words, codes, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    words, codes = words[order], place[codes]
+    trained = np.bincount(codes[np.repeat(~own, size)], minlength=len(words))
+    row = {
+        "block": number,
+        "doc_ids": ids,
+        "held": own.tolist(),
+        "lengths": size.astype(np.int32).tobytes(),
+        "words": words.tobytes(),
+        "codes": _packed(codes),
+        "trained": _packed(trained.astype(np.int32)),
+    }
+    return pa.RecordBatch.from_pylist([row], schema=_BLOCK_SCHEMA)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    part, seen = TaskContext.get().partitionId(), 0
+    first, made = TaskContext.get().partitionId() << 32, 0
+    parts: tuple[list, list, list, list] = ([], [], [], [])
+    size = 0
     for batch in batches:
         held = np.array(batch.column("held_out").to_pylist(), bool)
-        for w in words_of(batch.column("text"), lower=True, limit=BLOCK_BYTES):
-            n = w.last - w.first
-            counts = np.diff(w.bounds)
-            tokens = np.insert(w.hashes, w.bounds[1:], END)  # one end after each text
-            words, codes = np.unique(tokens, return_inverse=True)
-            own = held[w.first : w.last]
-            learn = np.repeat(~own, counts + 1)
-            trained = np.bincount(codes[learn], minlength=len(words))
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "block": (part << 32) | seen,
-                        "doc_ids": batch.column("doc_id").slice(w.first, n).to_pylist(),
-                        "held": own.tolist(),
-                        "lengths": (counts + 1).astype(np.int32).tobytes(),
-                        "words": words.tobytes(),
-                        "codes": codes.astype(np.int32).tobytes(),
-                        "trained": trained.astype(np.int32).tobytes(),
-                    }
-                ],
-                schema=pa.schema(
-                    [
-                        ("block", pa.int64()),
-                        ("doc_ids", pa.list_(pa.int64())),
-                        ("held", pa.list_(pa.bool_())),
-                        ("lengths", pa.binary()),
-                        ("words", pa.binary()),
-                        ("codes", pa.binary()),
-                        ("trained", pa.binary()),
-                    ]
-                ),
-            )
-            seen += 1
+        for w in words_of(batch.column("text"), lower=True):
+            parts[0].extend(batch.column("doc_id").slice(w.first, w.last - w.first).to_pylist())
+            parts[1].append(held[w.first : w.last])
+            parts[2].append(np.insert(w.hashes, w.bounds[1:], END))  # one end after each text
+            parts[3].append(np.diff(w.bounds) + 1)
+            size += len(w.data)
+            if size >= BLOCK_BYTES:
+                yield _block(first | made, *parts)
+                parts, size, made = ([], [], [], []), 0, made + 1
+    if parts[0]:
+        yield _block(first | made, *parts)
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             words = np.frombuffer(batch.column("words")[row].as_py(), np.int64)
-            trained = np.frombuffer(batch.column("trained")[row].as_py(), np.int32)
+            trained = _unpacked(batch.column("trained")[row].as_py(), len(words))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(words), batch.column("block")[row].as_py(), np.int64)),
@@ -300,8 +320,7 @@ def _round(blocks: DataFrame, model: Model) -> Model:
                 if held.all():
                     continue
                 words = np.frombuffer(batch.column("words")[row].as_py(), np.uint64)
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), np.int32)
-                codes = codes[np.repeat(~held, lengths)]
+                codes = _unpacked(batch.column("codes")[row].as_py(), int(lengths.sum()))[np.repeat(~held, lengths)]
                 total = total + _flat(expected_counts(model, model.classes(words)[codes], lengths[~held]))
         slots = np.flatnonzero(total) if np.ndim(total) else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -339,11 +358,8 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
     """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     blocks = materialise(docs.select("doc_id", "text", held.alias("held_out")).mapInArrow(_blocks, _BLOCK_TYPE), "hmm-blocks")
-    tokens = materialise(
-        blocks.select("block", "words", "trained").mapInArrow(_block_words, "block long, at int, word long, n long"), "hmm-tokens"
-    )
-    vocabulary = materialise(tokens.groupBy("word").agg(F.sum("n").alias("n")), "hmm-vocabulary")
-    seen = vocabulary.where("n > 0")
+    tokens = blocks.select("block", "words", "trained").mapInArrow(_block_words, "block long, at int, word long, n long")
+    seen = materialise(tokens.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")), "hmm-vocabulary")
     known = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     train_tokens, distinct = int(known[0]), int(known[1])
     end = int(END.astype(np.int64))
@@ -373,8 +389,8 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
 
     counts = (
         tokens.select("block", "at", "word")
-        .join(vocabulary, "word")
-        .select("block", "at", "n")
+        .join(seen, "word", "left")
+        .select("block", "at", F.coalesce("n", F.lit(0)).alias("n"))
         .groupBy("block")
         .applyInPandas(_aligned_counts, "block long, counts binary")  # a block's words: bounded by its bytes
     )
@@ -383,8 +399,8 @@ def hmm_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> D
         for batch in batches:
             for row in range(batch.num_rows):
                 words = np.frombuffer(batch.column("words")[row].as_py(), np.uint64)
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), np.int32)
                 lengths = np.frombuffer(batch.column("lengths")[row].as_py(), np.int32).astype(np.int64)
+                codes = _unpacked(batch.column("codes")[row].as_py(), int(lengths.sum()))
                 own = np.frombuffer(batch.column("counts")[row].as_py(), np.int64)
                 n, at = len(lengths), rows_of(np.concatenate([[0], np.cumsum(lengths)]))
                 base = np.log10((own + 1.0) / (train_tokens + distinct + 1.0))

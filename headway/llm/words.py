@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Words longer than this are hashed one by one.
 LONG_WORD = 1 << 16
 
