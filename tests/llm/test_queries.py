@@ -24,9 +24,9 @@ def test_query_covers_its_table(spark, db, name):
     got = QUERIES[name](spark, SF).toPandas()
     number = name[2:].split("_")[0]
     table = ROWS.get(number, "documents")
-    rows = db.sql(f"SELECT count(*) FROM {table}").fetchone()[0]
+    rows = db.sql(f"SELECT count(*) FROM {table}").fetchall()[0][0]
     if number == "1":
-        asked = db.sql("SELECT count(*) FROM embeddings WHERE vec_id % 20 = 0").fetchone()[0]
+        asked = db.sql("SELECT count(*) FROM embeddings WHERE vec_id % 20 = 0").fetchall()[0][0]
         assert len(got) == asked * min(20, rows - 1)
     elif number == "4":
         assert 0 < len(got) < rows
