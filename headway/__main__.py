@@ -8,13 +8,15 @@
            delay_distribution, total_stop_events)
   check    --root LANDING --warehouse WAREHOUSE [--now ISO] [--bounds-severity warn]
            freshness of both realtime feeds and the schedule, mart readiness,
-           and every data test of the marts (exit status 1 when one fails)
+           and every data test of the marts; exit status 1 when a feed or the
+           schedule is stale, the schedule or a mart is missing or empty, or a
+           data test fails
   ingest   --root LANDING --archives GLOB [--now ISO]
            ingest schedule archives (zip files)
   publish  --warehouse WAREHOUSE --target ROOT
            truncating load of the marts into another root
 
-Results print as tables; all work runs on Spark.  The Spark master and
+Results print whole, row by row, as tab-separated text; all work runs on Spark.  The Spark master and
 configuration come from the environment (spark-submit / spark-defaults).
 """
 
@@ -24,7 +26,7 @@ import argparse
 import datetime as dt
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from headway.operators import quality
 from headway.plans import sinks
@@ -41,6 +43,16 @@ DASHBOARD = (
 )
 
 
+def _print(df: DataFrame) -> list[Row]:
+    """Every row of a result, as text; rows stream from Spark one partition at a time."""
+    print("\t".join(df.columns))
+    rows = []
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+        rows.append(row)
+    return rows
+
+
 def _now(text: str | None) -> dt.datetime:
     if not text:
         return dt.datetime.now(dt.timezone.utc)
@@ -76,24 +88,22 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "build":
         write_marts(Warehouse(load_landing(spark, args.root), fact_form=args.fact_form), args.out)
     elif args.cmd == "query":
-        getattr(Marts.read(spark, args.warehouse), args.name)().show(200, truncate=False)
+        _print(getattr(Marts.read(spark, args.warehouse), args.name)())
     elif args.cmd == "check":
-        now = _now(args.now)
+        now, found = _now(args.now), []
         for feed in ("trip_updates", "vehicle_positions"):
-            since = (now - dt.timedelta(days=2)).date()
-            quality.rt_freshness_status(read_realtime(spark, args.root, feed), feed, [now], since=since).show(truncate=False)
-        quality.static_freshness_status(read_manifest(spark, args.root), [now]).show(truncate=False)
-        quality.readiness_of_root(spark, args.warehouse, MART_TABLES).show(truncate=False)
-        if all(r.status == "ready" for r in quality.readiness_of_root(spark, args.warehouse, MART_TABLES).collect()):
-            summary = quality.data_test_summary(Marts.read(spark, args.warehouse), args.bounds_severity)
-            summary.show(50, truncate=False)
-            if summary.where("status = 'fail'").count() > 0:
-                return 1
+            rt = read_realtime(spark, args.root, feed)
+            found += _print(quality.rt_freshness_status(rt, feed, [now], since=quality.newest_date(rt)))
+        found += _print(quality.static_freshness_status(read_manifest(spark, args.root), [now]))
+        ready = _print(quality.readiness_of_root(spark, args.warehouse, MART_TABLES))
+        if all(r.status == "ready" for r in ready):
+            found += _print(quality.data_test_summary(Marts.read(spark, args.warehouse), args.bounds_severity))
+        return int(any(r.status in ("stale", "missing", "empty", "fail") for r in [*found, *ready]))
     elif args.cmd == "ingest":
-        ingest_archives(spark, args.archives, args.root, now=_now(args.now)).show(truncate=False)
+        _print(ingest_archives(spark, args.archives, args.root, now=_now(args.now) if args.now else None))
     elif args.cmd == "publish":
         m = Marts.read(spark, args.warehouse)
-        sinks.publish_marts(spark, {t: getattr(m, t) for t in MART_TABLES}, args.target).show(truncate=False)
+        _print(sinks.publish_marts(spark, {t: getattr(m, t) for t in MART_TABLES}, args.target))
     return 0
 
 

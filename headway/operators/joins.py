@@ -1,8 +1,9 @@
 """Join helpers: broadcast only what is proven small.
 
 A side is broadcast only after it has been materialised in the shared
-checkpoint directory and counted; beyond the bound it is returned as is and
-Spark plans a shuffle join (AQE may still convert it at runtime).
+checkpoint directory and its bytes summed; beyond the bound it is returned
+without a hint, and Spark plans a shuffle join whose skewed partitions AQE
+splits.  Either way the rows are the same.
 """
 
 from __future__ import annotations
@@ -12,32 +13,21 @@ from pyspark.sql import functions as F
 
 from headway.session import checkpoint_root
 
-# Rows per broadcast side.  Version/day lookup tables are a few thousand rows;
-# one million leaves ample headroom while keeping the broadcast well under
-# the executor memory of any realistic cluster (rows are < 100 bytes).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+#: Bytes of a side that every executor may hold: text lengths plus 16 per field.
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df`` (cutting its lineage), count it, and mark it for
-    broadcast when it has at most ``max_rows`` rows."""
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``, estimated from the values themselves."""
+    size = F.lit(0)
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16
+    return int(df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0])
+
+
+def broadcast_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Materialise ``df`` (cutting its lineage), measure it, and mark it for
+    broadcast when it holds at most ``max_bytes``."""
     checkpoint_root(df.sparkSession)
     small = df.checkpoint(eager=True)
-    if small.count() <= max_rows:
-        return F.broadcast(small)
-    return small
-
-
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give a scan at least ``factor x defaultParallelism`` partitions.
-
-    A few large files with few row groups yield fewer splits than cores and
-    leave the heavy map-side stages under-parallel; then a round-robin
-    repartition spreads them.  With many input splits (any large dataset)
-    this is a no-op and adds no shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism * factor
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target) if n < target else df
+    return F.broadcast(small) if text_bytes(small) <= max_bytes else small

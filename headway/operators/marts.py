@@ -127,11 +127,10 @@ def rank_observation_versions(stg_trip_updates: DataFrame, versions: DataFrame)
 def latest_observation(stg_trip_updates: DataFrame, versions: DataFrame) -> DataFrame:
     """The newest observation per event with its resolved version.
 
-    The covering version depends on the date alone, so the per-day newest
-    version is attached with a broadcast equi-join before the dedup
-    (map-side, no shuffle) and rides along as a grouping key."""
-    obs = attach_versions(_observations(stg_trip_updates), newest_version_per_day(versions))
-    return latest_by_window(obs, EVENT_KEY + ["gtfs_version"], OBS_ORDER)
+    Observations are reduced first; the covering version depends on the date
+    alone, so the day's newest version is attached to the survivors only."""
+    newest = latest_by_window(_observations(stg_trip_updates), EVENT_KEY, OBS_ORDER)
+    return attach_versions(newest, newest_version_per_day(versions))
 
 
 def _with_schedule(deduped: DataFrame, stg_stop_times: DataFrame) -> DataFrame:

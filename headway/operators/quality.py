@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,22 @@ DELAY_UPPER_SEC = 3600
 
 
 class StaleDataError(Exception):
-    """Raised when ingested data is older than the allowed threshold."""
+    """A freshness check that a scheduler should treat as failed."""
 
 
-def _epoch(now: dt.datetime) -> int:
+def _micros(now: dt.datetime) -> int:
+    """Microseconds since the epoch of an instant that states its zone."""
     if now.tzinfo is None:
-        raise ValueError("now must be timezone-aware")
-    return int(now.timestamp())
+        raise ValueError("a check time needs a time zone")
+    return (now - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+
+
+def _check_times(checked_at: Sequence[dt.datetime]) -> Column:
+    return F.explode(F.array(*[F.lit(_micros(t)).cast("bigint") for t in checked_at])).alias("now_micros")
+
+
+def _seconds(micros: Column) -> Column:
+    return F.floor(micros / F.lit(1_000_000)).cast("bigint")
 
 
 # ── Freshness ────────────────────────────────────────────────────────────────
@@ -48,14 +58,22 @@ def latest_rt_feed_timestamp(rt: DataFrame, since: dt.date | None = None) -> Dat
     ``max(struct(date, hour, poll, feed_timestamp))`` orders by the poll
     first, so its last field is the newest poll's maximum: one pass, partial
     aggregation (one row per task), no join.  ``since`` restricts the scan to
-    ``date >= since`` by static partition pruning, so the cost stays flat as
-    history grows.  One row; NULL when there is no data."""
+    ``date >= since`` by static partition pruning; with the feed's
+    ``newest_date`` it is one day's scan.  One row; NULL when there is no data."""
     if since is not None:
         rt = rt.where(F.col("date") >= F.lit(since))
     newest = F.max(F.struct("date", "hour", "poll", "feed_timestamp"))
     return rt.agg(newest.alias("p")).select(F.col("p.feed_timestamp").alias("latest_feed_timestamp"))
 
 
+def newest_date(rt: DataFrame) -> dt.date | None:
+    """The newest ``date`` that holds rows, of any age.
+
+    Only partition values and row counts are read (no data column), so the cost
+    follows the number of files, not their size."""
+    return rt.agg(F.max("date")).first()[0]
+
+
 def rt_freshness_status(
     rt: DataFrame,
     feed: str,
@@ -69,23 +87,21 @@ def rt_freshness_status(
 
     Quiet hours are checked first on the local wall clock; missing data only
     warns (status ``no_data``); stale means age strictly above ``max_age``."""
-    latest = latest_rt_feed_timestamp(rt, since)
-    checks = F.explode(
-        F.array(*[F.lit(_epoch(t)).cast("bigint") for t in checked_at])
-    ).alias("now_epoch")
-    x = latest.select("latest_feed_timestamp", checks)
-    age = F.col("now_epoch") - F.col("latest_feed_timestamp")
-    hour = local_hour("now_epoch", tz)
+    x = latest_rt_feed_timestamp(rt, since).select("latest_feed_timestamp", _check_times(checked_at))
+    now = _seconds(F.col("now_micros"))
+    age = now - F.col("latest_feed_timestamp")
+    exact_age = F.col("now_micros") - F.col("latest_feed_timestamp") * F.lit(1_000_000)
+    hour = local_hour(now, tz)
     limit = int(max_age.total_seconds())
     status = (
         F.when(hour.isin(list(quiet_hours)), F.lit("quiet"))
         .when(F.col("latest_feed_timestamp").isNull(), F.lit("no_data"))
-        .when(age > limit, F.lit("stale"))
+        .when(exact_age > max_age // dt.timedelta(microseconds=1), F.lit("stale"))
         .otherwise(F.lit("fresh"))
     )
     return x.select(
         F.lit(feed).alias("feed"),
-        epoch_to_utc_wall("now_epoch").alias("checked_at"),
+        epoch_to_utc_wall(now).alias("checked_at"),
         hour.alias("local_hour"),
         "latest_feed_timestamp",
         age.alias("age_seconds"),
@@ -95,10 +111,10 @@ def rt_freshness_status(
 
 
 def latest_static_download(versions: DataFrame) -> DataFrame:
-    """Q2/A10: newest ``downloaded_at`` as epoch seconds; text without an
-    offset counts as UTC.  One row; NULL when the manifest is empty."""
+    """Q2/A10: newest ``downloaded_at`` as microseconds since the epoch; text
+    without an offset counts as UTC.  One row; NULL when the manifest is empty."""
     ts = parse_iso_instant("downloaded_at")
-    return versions.agg(F.max(F.unix_seconds(ts)).alias("latest_download_epoch"))
+    return versions.agg(F.max(F.unix_micros(ts)).alias("latest_download_micros"))
 
 
 def static_freshness_status(
@@ -107,21 +123,18 @@ def static_freshness_status(
     max_age: dt.timedelta = STATIC_MAX_AGE,
 ) -> DataFrame:
     """Q4: one status row per check time: missing / fresh / stale."""
-    latest = latest_static_download(versions)
-    checks = F.explode(
-        F.array(*[F.lit(_epoch(t)).cast("bigint") for t in checked_at])
-    ).alias("now_epoch")
-    x = latest.select("latest_download_epoch", checks)
-    age = F.col("now_epoch") - F.col("latest_download_epoch")
+    x = latest_static_download(versions).select("latest_download_micros", _check_times(checked_at))
+    exact_age = F.col("now_micros") - F.col("latest_download_micros")
+    now, latest, age = _seconds(F.col("now_micros")), _seconds(F.col("latest_download_micros")), _seconds(exact_age)
     limit = int(max_age.total_seconds())
     status = (
-        F.when(F.col("latest_download_epoch").isNull(), F.lit("missing"))
-        .when(age > limit, F.lit("stale"))
+        F.when(F.col("latest_download_micros").isNull(), F.lit("missing"))
+        .when(exact_age > max_age // dt.timedelta(microseconds=1), F.lit("stale"))
         .otherwise(F.lit("fresh"))
     )
     return x.select(
-        epoch_to_utc_wall("now_epoch").alias("checked_at"),
-        epoch_to_utc_wall("latest_download_epoch").alias("latest_download"),
+        epoch_to_utc_wall(now).alias("checked_at"),
+        epoch_to_utc_wall(latest).alias("latest_download"),
         age.alias("age_seconds"),
         F.lit(limit).cast("bigint").alias("max_age_seconds"),
         status.alias("status"),
@@ -133,20 +146,19 @@ def check_rt_freshness(
     feed: str,
     now: dt.datetime,
     max_age: dt.timedelta = RT_MAX_AGE,
-    lookback: dt.timedelta = dt.timedelta(days=2),
+    tz: str = LOCAL_TZ,
+    quiet_hours: Iterable[int] = QUIET_HOURS,
 ) -> str:
     """Raise ``StaleDataError`` when stale; return the status otherwise.
 
-    Only the last ``lookback`` of poll partitions is searched first; the
-    whole history is read only when nothing recent exists."""
-    since = (now.astimezone(dt.timezone.utc) - lookback).date()
-    row = rt_freshness_status(rt, feed, [now], max_age, since=since).first()
-    if row["status"] == "no_data":
-        row = rt_freshness_status(rt, feed, [now], max_age).first()
+    In quiet hours nothing is read.  Else the newest date that holds rows is
+    found from the partitions, whatever its age, and only that date is read."""
+    if now.astimezone(ZoneInfo(tz)).hour in set(quiet_hours):
+        return "quiet"
+    row = rt_freshness_status(rt, feed, [now], max_age, tz, quiet_hours, since=newest_date(rt)).first()
     if row["status"] == "stale":
         raise StaleDataError(
-            f"{feed} feed is stale: last update {row['latest_feed_timestamp']} "
-            f"({row['age_seconds']} s ago, threshold {row['max_age_seconds']} s)"
+            f"no {feed} for {row['age_seconds']} s (allowed: {row['max_age_seconds']} s); newest message: {row['latest_feed_timestamp']}"
         )
     return row["status"]
 
@@ -157,12 +169,10 @@ def check_static_freshness(
     """Raise when the manifest is empty (missing) or stale."""
     row = static_freshness_status(versions, [now], max_age).first()
     if row["status"] == "missing":
-        raise StaleDataError("No static schedule versions found in manifest")
+        raise StaleDataError("the manifest lists no schedule")
     if row["status"] == "stale":
-        raise StaleDataError(
-            f"Static schedule is stale: last download {row['latest_download']} "
-            f"({row['age_seconds'] // 86400} days ago, threshold {row['max_age_seconds'] // 86400} days)"
-        )
+        days = dt.timedelta(seconds=row["age_seconds"]).days
+        raise StaleDataError(f"newest schedule is {days} days old (allowed: {max_age.days}), downloaded {row['latest_download']}")
     return row["status"]
 
 

@@ -1,8 +1,9 @@
 """End-to-end warehouse build (lifecycle E2) and the analytic queries.
 
 ``Warehouse`` wires raw tables through staging into the marts lazily: every
-attribute is a DataFrame, nothing runs until an action or a write.  Marts
-are materialised with ``write_marts`` (full rebuild, overwrite) and read
+attribute is a DataFrame.  Small lookup tables (the manifest, versions per day)
+are materialised and measured when a mart that needs them is planned; all else
+waits for an action or a write.  Marts are materialised with ``write_marts`` (full rebuild, overwrite) and read
 back by the analytic queries, as a dashboard would.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.operators import analytics, marts, staging, versions
 from headway.sources.readers import RawTables  # or any object with the same attributes
 
+# Model names.
 MART_TABLES = ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")
 
 

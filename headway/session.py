@@ -2,7 +2,8 @@
 
 On a cluster the session is created by the platform; the library only reads
 ``spark.checkpoint.dir`` from it.  A private directory is set only when that
-setting is missing (local tests and benches).
+setting is missing and the master is local (tests and benches); any other
+master is refused, because executors would not see the driver's folder.
 """
 
 from __future__ import annotations
@@ -32,13 +33,14 @@ _BASE_CONF = {
 def build_session(
     master: str = "local[*]",
     app_name: str = "headway",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or return) a session configured for this library."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(_BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.host"] = "127.0.0.1"
     conf["spark.driver.bindAddress"] = "127.0.0.1"
     conf.update(extra or {})
@@ -52,9 +54,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, creating a local one if unset.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    a machine-local temporary folder is only used when nothing is configured
-    (tests, single-machine benches).
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``; a
+    temporary folder is used only where nothing is configured and the master is
+    local, so that driver and executors are one process.
     """
     try:
         sc = spark.sparkContext
@@ -68,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="headway-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

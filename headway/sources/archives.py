@@ -6,7 +6,7 @@ unpacked by ``mapInArrow``: each task opens its archives, reads the five
 known tables by exact root-level member name, decodes UTF-8 with an
 optional byte-order mark, and streams rows out in bounded Arrow batches
 as ``(version, table_name, row MAP<column, value>)``.  Per-table projection
-then happens in Spark.
+then happens in Spark and keeps every column that a file has.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas
+from headway.functions.dates import epoch_to_utc_wall
+from headway.operators.versions import content_hash
 
 BATCH_ROWS = 10_000
 
@@ -34,9 +36,16 @@ _ROW_SCHEMA = pa.schema(
 
 
 def read_archives(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Archive bytes with their content hash (I1) as ``version``."""
+    """Archive bytes with their content hash (I1) as ``version``, and the
+    time each file was stored as ``downloaded_at`` (ISO text, UTC)."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path_glob)
-    return df.select("path", "content", F.sha2("content", 256).alias("version"))
+    wall = epoch_to_utc_wall(F.unix_seconds("modificationTime"))
+    return df.select(
+        "path",
+        "content",
+        content_hash("content").alias("version"),
+        F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss").alias("downloaded_at"),
+    )
 
 
 def _rows_of(version: str, content: bytes) -> Iterator[tuple[str, str, list]]:
@@ -58,6 +67,7 @@ def _unpack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         versions = batch.column("version").to_pylist()
         contents = batch.column("content").to_pylist()
         for version, content in zip(versions, contents, strict=True):
+            buf.append((version, "", []))  # says that this archive was unpacked
             for row in _rows_of(version, content):
                 buf.append(row)
                 if len(buf) >= BATCH_ROWS:
@@ -76,15 +86,21 @@ def _to_batch(rows: list[tuple[str, str, list]]) -> pa.RecordBatch:
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
-    """``(version, content)`` rows to ``(version, table_name, row)``."""
+    """``(version, content)`` rows to ``(version, table_name, row)``, and
+    one row of an empty ``table_name`` for each archive."""
     return archives.select("version", "content").mapInArrow(_unpack_batches, schemas.ARCHIVE_ROWS)
 
 
 def table_rows(rows: DataFrame, table: str, prefix_len: int = 12) -> DataFrame:
-    """Project one table's rows to its string columns plus the 12-char
-    ``version`` partition key; absent optional columns become NULL."""
-    return rows.where(F.col("table_name") == table).select(
-        *[F.col("row")[c].alias(c) for c in schemas.STATIC_COLUMNS[table]],
+    """Project one table's rows to string columns plus the 12-char ``version``
+    partition key: the columns that staging reads (NULL where a file lacks
+    them) and every other column that any of the files has."""
+    own = rows.where(F.col("table_name") == table)
+    known = schemas.STATIC_COLUMNS[table]
+    names = own.select(F.explode(F.map_keys("row")).alias("c")).distinct().collect()  # the files' headers
+    extra = sorted({r.c for r in names} - set(known) - {"version"})
+    return own.select(
+        *[F.col("row")[c].alias(c) for c in [*known, *extra]],
         F.substring("version", 1, prefix_len).alias("version"),
     )
 
@@ -94,5 +110,5 @@ def skipped_tables(archives: DataFrame, rows: DataFrame) -> DataFrame:
     expected = archives.select("version").distinct().select(
         "version", F.explode(F.array(*[F.lit(t) for t in schemas.STATIC_TABLES])).alias("table_name")
     )
-    present = rows.select("version", "table_name").distinct()
+    present = rows.where("table_name <> ''").select("version", "table_name").distinct()
     return expected.join(present, ["version", "table_name"], "left_anti")

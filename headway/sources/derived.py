@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators.joins import spread
 from headway.session import checkpoint_root
 from headway.functions.dates import epoch_utc_date, epoch_utc_hour, poll_key, truncate_epoch, ymd
 
@@ -56,9 +55,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _read_spread(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Projected scan of a large table with a parallelism floor."""
-    return spread(_read(spark, sf_dir, name).select(*columns))
+def _read_columns(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    return _read(spark, sf_dir, name).select(*columns)
 
 
 def _s(col: Column) -> Column:
@@ -107,7 +105,7 @@ def _orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem joined to its order day (shuffle join on the order key)."""
-    lines = _read_spread(
+    lines = _read_columns(
         spark,
         sf_dir,
         "lineitem",
@@ -193,7 +191,7 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scheduled_lines(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None) -> DataFrame:
     """Observed lines with every version covering their day."""
-    lines = _read_spread(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
+    lines = _read_columns(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
     o = lines.join(_orders_by_day(spark, sf_dir), lines.l_orderkey == F.col("o_orderkey")).drop(
         "o_orderkey"
     )
@@ -296,7 +294,7 @@ def calendar_dates(spark: SparkSession, sf_dir: str, qv: DataFrame | None = None
 
 
 def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spread(_read(spark, sf_dir, "events"))
+    e = _read(spark, sf_dir, "events")
     feed_ts = (F.lit(POSITION_EPOCH_BASE) + F.col("event_id") * 60).cast("bigint")
     uid = F.col("user_id")
     out = e.select(

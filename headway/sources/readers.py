@@ -67,6 +67,15 @@ def read_static(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_source(spark, root, base, schemas.static_schema(table), base=base)
 
 
+def read_static_all_columns(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One static table with every column that any version landed (as text)."""
+    path = f"{source_root(root)}/gtfs_static/{table}"
+    merged = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+    names = [c for c in merged.columns if c != "version"]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "version"]])
+    return read_source(spark, root, f"gtfs_static/{table}", schema, base=f"gtfs_static/{table}")
+
+
 def read_static_reference_layout(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Static table stored one file per version directory
     (``gtfs_static/version=*/<table>.parquet``), as some landing zones do."""

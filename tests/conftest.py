@@ -1,12 +1,14 @@
-"""Shared fixtures: one local Spark session and a golden landing zone.
+"""Shared fixtures: one local Spark session and a small landing zone.
 
-The golden zone holds two overlapping schedule versions (the newer one
-moves trip-1 / stop 1 five minutes later), three realtime stop updates and
-one vehicle position -- small enough to check every value by hand.
+The zone is a harbour town's timetable.  Its spring version replaces the winter
+one from 10 March on (their windows overlap until the 31st) and leaves the
+harbour two minutes later.  Every expected value in the tests is worked out by
+hand from the rows below.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 import tempfile
 from pathlib import Path
@@ -17,9 +19,31 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from headway import schemas  # noqa: E402
 from headway.plans import sinks  # noqa: E402
+from headway.plans.ingest import with_poll_partitions  # noqa: E402
 from headway.session import build_session  # noqa: E402
 
-V1, V2 = "aabbccdd1122eeff", "ffeeddccbba91234"
+WINTER, SPRING = "0c1d2e3f4a5b" + "11" * 26, "9f8e7d6c5b4a" + "22" * 26
+#: Polls: on a day that only winter covers, and on one that both do (epoch seconds, UTC).
+EARLY_POLL = int(dt.datetime(2031, 3, 5, 9, 11, tzinfo=dt.timezone.utc).timestamp())
+POLL = int(dt.datetime(2031, 3, 12, 9, 15, tzinfo=dt.timezone.utc).timestamp())
+
+TIMETABLE = {
+    "stops": [("harbour", "Harbour Gate", "54.10", "10.20"), ("mill", "Old Mill", "54.20", "10.30"), ("depot", "Depot", None, None)],
+    "routes": [("L7", "Line 7", "3"), ("N2", "Night 2", "3")],
+    "trips": [("L7", "weekday", "m100", "0"), ("N2", "weekday", "m200", "1")],
+    "calendar_dates": [("weekday", "20310305", "1"), ("weekday", "20310312", "1")],
+}
+STOP_TIMES = {
+    WINTER: [("m100", "09:10:00", "09:10:30", "harbour", "1"), ("m100", "09:20:00", "09:21:00", "mill", "2"), ("m200", "24:50:00", "24:50:00", "mill", "1")],
+    SPRING: [("m100", "09:12:00", "09:12:30", "harbour", "1"), ("m100", "09:20:00", "09:21:00", "mill", "2"), ("m200", "24:50:00", "24:50:00", "mill", "1")],
+}
+#: poll, trip, route, date, sequence, stop, arrival delay, departure delay
+OBSERVED = [
+    (EARLY_POLL, "m100", "L7", "20310305", 1, "harbour", 0, 0),
+    (POLL, "m100", "L7", "20310312", 1, "harbour", 45, 50),
+    (POLL, "m100", "L7", "20310312", 2, "mill", -90, -80),
+    (POLL, "m200", "N2", "20310312", 1, "mill", 400, 410),
+]
 
 
 @pytest.fixture(scope="session")
@@ -34,69 +58,28 @@ def tmp_root(tmp_path) -> str:
     return str(tmp_path / "zone")
 
 
-def _static(spark, table: str, rows: list[tuple], version: str):
-    cols = schemas.STATIC_COLUMNS[table]
-    return spark.createDataFrame([(*r, version) for r in rows], [*cols, "version"])
-
-
 def write_golden(spark, root: str) -> None:
     sinks.append_manifest(
         spark.createDataFrame(
-            [
-                (V1, "2026-07-21T04:00:00", "20260721", "20260803"),
-                (V2, "2026-07-28T04:00:00", "20260728", "20260810"),
-            ],
+            [(WINTER, "2031-03-01T02:30:00", "20310301", "20310331"), (SPRING, "2031-03-09T02:30:00", "20310310", "20310430")],
             schemas.VERSIONS,
         ),
         root,
     )
-    stops = [("S1", "Stazione", "45.4175", "11.8809"), ("S2", "Pontevigodarzere", "45.4340", "11.8720")]
-    routes = [("T1", "SIR1", "0")]
-    trips = [("T1", "1", "trip-1", "0"), ("T1", "1", "trip-night", "1")]
-    cal = [("1", "20260730", "1"), ("1", "20260731", "1")]
-    st1 = [
-        ("trip-1", "08:00:00", "08:01:00", "S1", "1"),
-        ("trip-1", "08:10:00", "08:11:00", "S2", "2"),
-        ("trip-night", "25:15:00", "25:16:00", "S1", "1"),
-    ]
-    st2 = [("trip-1", "08:05:00", "08:06:00", "S1", "1")] + st1[1:]
-    for table, rows1, rows2 in [
-        ("stops", stops, stops),
-        ("routes", routes, routes),
-        ("trips", trips, trips),
-        ("stop_times", st1, st2),
-        ("calendar_dates", cal, cal),
-    ]:
-        df = _static(spark, table, rows1, V1[:12]).unionByName(_static(spark, table, rows2, V2[:12]))
-        sinks.write_static(df, root, table)
-
-    ts = 1785427200
-    tu = [
-        (ts, "e1", "trip-1", "T1", 0, "20260730", "08:00:00", "tram-01", "Tram 01", 1, "S1", 60, 0, 75, 0, 0),
-        (ts, "e1", "trip-1", "T1", 0, "20260730", "08:00:00", "tram-01", "Tram 01", 2, "S2", -30, 0, 0, 0, 0),
-        (ts, "e2", "trip-night", "T1", 1, "20260730", "25:15:00", "tram-02", "Tram 02", 1, "S1", 120, 0, 120, 0, 0),
-    ]
-    part = ("2026-07-30", 8, "20260730T080000")
-    from pyspark.sql import functions as F
-
-    tu_df = spark.createDataFrame(tu, schemas.TRIP_UPDATES).select(
-        "*",
-        F.lit(part[0]).cast("date").alias("date"),
-        F.lit(part[1]).alias("hour"),
-        F.lit(part[2]).alias("poll"),
-    )
-    sinks.write_realtime(tu_df, root, "trip_updates")
-    vp = [
-        (ts, "v1", "trip-1", "T1", 0, "20260730", "08:00:00", "tram-01", "Tram 01",
-         45.4175, 11.8809, 180.0, 10.0, 1, "S1", 1, ts),
+    for version in (WINTER, SPRING):
+        for table, rows in {**TIMETABLE, "stop_times": STOP_TIMES[version]}.items():
+            columns = ", ".join(f"{c} string" for c in [*schemas.STATIC_COLUMNS[table], "version"])
+            sinks.write_static(spark.createDataFrame([(*r, version[:12]) for r in rows], columns), root, table)
+
+    updates = [
+        (poll, f"{trip}/{date}", trip, route, 0, date, "09:00:00", "bus 4", "Bus 4", seq, stop, arrival, poll, departure, poll, 0)
+        for poll, trip, route, date, seq, stop, arrival, departure in OBSERVED
     ]
-    vp_df = spark.createDataFrame(vp, schemas.VEHICLE_POSITIONS).select(
-        "*",
-        F.lit(part[0]).cast("date").alias("date"),
-        F.lit(part[1]).alias("hour"),
-        F.lit(part[2]).alias("poll"),
-    )
-    sinks.write_realtime(vp_df, root, "vehicle_positions")
+    flat = spark.createDataFrame(updates, schemas.TRIP_UPDATES)
+    sinks.write_realtime(with_poll_partitions(flat), root, "trip_updates")
+    place = (POLL, "bus 4", "m100", "L7", 0, "20310312", "09:00:00", "bus 4", "Bus 4", 54.15, 10.25, 90.0, 7.5, 1, "harbour", 2, POLL)
+    position = spark.createDataFrame([place], schemas.VEHICLE_POSITIONS)
+    sinks.write_realtime(with_poll_partitions(position), root, "vehicle_positions")
 
 
 @pytest.fixture(scope="session")

@@ -1,4 +1,4 @@
-"""Golden-value tests of staging, dimensions, the fact and the aggregates."""
+"""Hand-worked tests of staging, dimensions, the fact and the aggregates."""
 
 from __future__ import annotations
 
@@ -6,57 +6,54 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from headway.operators import marts
+from headway.operators import marts, staging
 from headway.plans.warehouse import Marts, Warehouse
+from tests.conftest import SPRING, WINTER
 
 
-def _row(df, **eq):
-    cond = None
-    for k, v in eq.items():
-        c = F.col(k) == v
-        cond = c if cond is None else cond & c
-    rows = df.where(cond).collect()
-    assert len(rows) == 1, rows
-    return rows[0]
+def _fact(df):
+    return {(str(r.service_date), r.trip_id, r.stop_sequence): r for r in df.collect()}
 
 
-def test_fact_row_count(golden):
-    assert golden.fct_stop_events.count() == 3
-
-
-def test_fact_delay_values(golden):
-    r = _row(golden.fct_stop_events, trip_id="trip-1", stop_sequence=1)
-    assert (r.arrival_delay_seconds, r.departure_delay_seconds) == (60, 75)
-
-
-def test_midnight_crossing(golden):
-    r = _row(golden.fct_stop_events, trip_id="trip-night")
-    assert r.scheduled_arrival == dt.datetime(2026, 7, 31, 1, 15)
-    assert r.actual_arrival == dt.datetime(2026, 7, 31, 1, 17)
-    assert r.arrival_delay_seconds == 120
+def test_fact(golden):
+    fact = _fact(golden.fct_stop_events)
+    delays = {k: (r.arrival_delay_seconds, r.departure_delay_seconds) for k, r in fact.items()}
+    assert delays == {
+        ("2031-03-05", "m100", 1): (0, 0),
+        ("2031-03-12", "m100", 1): (45, 50),
+        ("2031-03-12", "m100", 2): (-90, -80),
+        ("2031-03-12", "m200", 1): (400, 410),
+    }
+    # each day's newest schedule: only winter covers the 5th
+    assert {k[0]: r.gtfs_version for k, r in fact.items()} == {"2031-03-05": WINTER[:12], "2031-03-12": SPRING[:12]}
+    assert fact["2031-03-05", "m100", 1].scheduled_arrival == dt.datetime(2031, 3, 5, 9, 10)
+    assert fact["2031-03-12", "m100", 1].scheduled_arrival == dt.datetime(2031, 3, 12, 9, 12)
+    assert fact["2031-03-12", "m100", 1].actual_departure == dt.datetime(2031, 3, 12, 9, 13, 20)
+    # ten to one at night belongs to the service day before
+    night = fact["2031-03-12", "m200", 1]
+    assert night.scheduled_arrival == dt.datetime(2031, 3, 13, 0, 50)
+    assert night.actual_arrival == dt.datetime(2031, 3, 13, 0, 56, 40)
 
 
 def test_scheduled_hour_is_wall_clock(spark, golden):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
-        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        r = _row(golden.fct_stop_events.select("trip_id", "stop_sequence", F.hour("scheduled_arrival").alias("h")),
-                 trip_id="trip-1", stop_sequence=1)
-        assert r.h == 8
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        hours = golden.fct_stop_events.groupBy(F.hour("scheduled_arrival").alias("h")).count().collect()
+        assert {r.h: r["count"] for r in hours} == {9: 3, 0: 1}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_overlapping_versions_pick_newest_schedule(golden):
-    r = _row(golden.fct_stop_events, trip_id="trip-1", stop_sequence=1)
-    assert r.gtfs_version == "ffeeddccbba9"
-    assert r.scheduled_arrival.minute == 5
-
-
 def test_dims(golden):
-    assert golden.dim_stops.count() == 2
-    assert golden.dim_routes.count() == 1
-    assert golden.dim_trips.count() == 4  # two trips in each of two versions
+    assert {r.stop_id: (r.stop_name, r.stop_lat) for r in golden.dim_stops.collect()} == {
+        "harbour": ("Harbour Gate", 54.1),
+        "mill": ("Old Mill", 54.2),
+        "depot": ("Depot", None),
+    }
+    assert {r.route_id: r.route_short_name for r in golden.dim_routes.collect()} == {"L7": "Line 7", "N2": "Night 2"}
+    trips = {(r.version, r.trip_id, r.route_short_name) for r in golden.dim_trips.collect()}
+    assert trips == {(v[:12], t, n) for v in (WINTER, SPRING) for t, n in (("m100", "Line 7"), ("m200", "Night 2"))}
 
 
 def test_range_and_resolved_fact_agree(golden):
@@ -68,46 +65,28 @@ def test_range_and_resolved_fact_agree(golden):
 
 def test_analytics(golden):
     m = Marts.of(golden)
-    by_route = m.punctuality_by_route().collect()
-    assert len(by_route) == 1
-    r = by_route[0]
-    assert r.route_short_name == "SIR1" and r.total_events == 3
-    assert r.avg_delay_sec == round((60 - 30 + 120) / 3, 1)
-    assert r.median_delay_sec == 60.0
-    assert r.pct_on_time == 100.0
-    hours = {x.hour_of_day: x.total_events for x in m.punctuality_by_hour().collect()}
-    assert hours == {8: 2, 1: 1}
-    stops = m.punctuality_by_stop().collect()
-    assert {s.stop_id for s in stops} == {"S1", "S2"} and stops[0].stop_lat is not None
-    hist = m.delay_distribution().collect()
-    assert sum(h.event_count for h in hist) == 3
-    assert [h.bucket_order for h in hist] == sorted(h.bucket_order for h in hist)
-    assert m.total_stop_events().first().total_events == 3
-
-
-def test_status_filter_precedes_dedup(spark, golden):
+    routes = [tuple(r) for r in m.punctuality_by_route().collect()]
+    assert routes == [("N2", "Night 2", 1, 400.0, 400.0, 0.0), ("L7", "Line 7", 3, -15.0, 0.0, 66.7)]  # worst first
+    assert [(r.hour_of_day, r.total_events) for r in m.punctuality_by_hour().collect()] == [(0, 1), (9, 3)]
+    stops = {r.stop_id: (r.total_events, r.avg_delay_sec, r.stop_lat) for r in m.punctuality_by_stop().collect()}
+    assert stops == {"harbour": (2, 22.5, 54.1), "mill": (2, 155.0, 54.2)}
+    hist = [(r.bucket_order, r.event_count) for r in m.delay_distribution().collect()]
+    assert hist == [(1, 1), (3, 2), (6, 1)]  # -90; 0 and 45; 400
+    assert m.total_stop_events().first().total_events == 4
+
+
+def test_status_filter_precedes_dedup(golden):
     """A newer SKIPPED poll must not hide the last SCHEDULED one, and a newer
     SCHEDULED poll with no delays removes the event (no fallback)."""
-    tu = golden.stg_trip_updates
-    base = golden.raw.trip_updates
-    newer_skip = base.where("stop_sequence = 1 and trip_id = 'trip-1'").withColumns(
-        {"feed_timestamp": F.col("feed_timestamp") + 60, "schedule_relationship": F.lit(1)}
+    seen = golden.raw.trip_updates
+    later = F.col("feed_timestamp") + 60
+    cancelled = seen.where("trip_id = 'm100'").withColumns({"feed_timestamp": later, "schedule_relationship": F.lit(1)})
+    silent = seen.where("trip_id = 'm200'").withColumns(
+        {"feed_timestamp": later, "arrival_delay": F.lit(None).cast("int"), "departure_delay": F.lit(None).cast("int")}
     )
-    newer_empty = base.where("trip_id = 'trip-night'").withColumns(
-        {
-            "feed_timestamp": F.col("feed_timestamp") + 60,
-            "arrival_delay": F.lit(None).cast("int"),
-            "departure_delay": F.lit(None).cast("int"),
-        }
-    )
-    from headway.operators import staging
-
-    stg = staging.stg_trip_updates(base.unionByName(newer_skip).unionByName(newer_empty))
-    fact = marts.fct_stop_events(stg, golden.stg_gtfs_versions, golden.stg_stop_times)
-    rows = {(r.trip_id, r.stop_sequence): r for r in fact.collect()}
-    assert rows[("trip-1", 1)].arrival_delay_seconds == 60
-    assert ("trip-night", 1) not in rows
-    assert tu.count() == 3
+    stg = staging.stg_trip_updates(seen.unionByName(cancelled).unionByName(silent))
+    fact = _fact(marts.fct_stop_events(stg, golden.stg_gtfs_versions, golden.stg_stop_times))
+    assert sorted(k[1:] for k in fact) == [("m100", 1), ("m100", 1), ("m100", 2)]
 
 
 def test_empty_window_version_never_matches(spark, golden):
@@ -122,7 +101,6 @@ def test_empty_window_version_never_matches(spark, golden):
 
 def test_strict_and_tolerant_staging(spark):
     import pytest
-    from headway.operators import staging
 
     st = spark.createDataFrame(
         [("t", "8:xx:00", "08:01:00", "S1", "1", "v"), ("t", "08:05:00", "08:06:00", "S1", "2", "v")],

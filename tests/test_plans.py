@@ -40,6 +40,10 @@ def test_aggregates_combine_before_shuffle(golden):
     assert "percentile" in below
 
 
-def test_version_match_is_equi_join_on_service_date(golden):
+def test_versions_are_attached_by_date_to_reduced_observations(golden):
     plan = _plan(golden.fct_stop_events)
     assert "BroadcastHashJoin [service_date" in plan
+    lines = plan.splitlines()
+    join = next(i for i, ln in enumerate(lines) if "BroadcastHashJoin [service_date" in ln)
+    dedup = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning(service_date" in ln)
+    assert join < dedup  # plans print the last step first

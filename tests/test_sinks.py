@@ -33,7 +33,7 @@ def test_rerun_of_one_poll_overwrites_only_that_poll(spark, golden, tmp_root):
     sinks.write_realtime(p2, tmp_root, "trip_updates")
     sinks.write_realtime(p1, tmp_root, "trip_updates")  # rerun
     got = read_realtime(spark, tmp_root, "trip_updates")
-    assert got.count() == 6
+    assert got.count() == 8
     assert {r.poll for r in got.select("poll").distinct().collect()} == {"20260730T142500", "20260730T142600"}
 
 
@@ -75,7 +75,7 @@ def test_publish_noop_without_target(spark):
 def test_publish_marts_round_trip(spark, golden, tmp_path):
     marts = {m: golden.mart(m) for m in ("dim_stops", "dim_routes", "dim_trips", "fct_stop_events")}
     out = {r.table_name: r.n_rows for r in sinks.publish_marts(spark, marts, str(tmp_path / "pub")).collect()}
-    assert out == {"dim_stops": 2, "dim_routes": 1, "dim_trips": 4, "fct_stop_events": 3}
+    assert out == {"dim_stops": 3, "dim_routes": 2, "dim_trips": 4, "fct_stop_events": 4}
     out2 = {r.table_name: r.n_rows for r in sinks.publish_marts(spark, marts, str(tmp_path / "pub")).collect()}
     assert out2 == out
 
@@ -85,8 +85,19 @@ def test_blob_name(tmp_path):
     assert sinks.blob_name(f"{root}/trip_updates/date=2026-07-30/hour=8/x.parquet", root) == (
         "trip_updates/date=2026-07-30/hour=8/x.parquet"
     )
-    with pytest.raises(ValueError):
-        sinks.blob_name(str(tmp_path.parent / "elsewhere.parquet"), root)
+    assert sinks.blob_name("file:/data//zone/./a/../b.parquet", "/data/zone/") == "b.parquet"
+    assert sinks.blob_name("s3://bucket/zone/a.parquet", "s3://bucket/zone") == "a.parquet"
+    outside = [
+        (str(tmp_path.parent / "elsewhere.parquet"), root),
+        ("/data/zone/../secret/x.parquet", "/data/zone"),
+        ("/data/zone-2/x.parquet", "/data/zone"),
+        ("/data/zone", "/data/zone"),
+        ("s3://other/zone/a.parquet", "s3://bucket/zone"),
+        ("/data/zonefile:/x", "/data/zone"),
+    ]
+    for path, base in outside:
+        with pytest.raises(ValueError, match="is not below"):
+            sinks.blob_name(path, base)
 
 
 def test_mirror_keeps_partitions(spark, golden_root, tmp_path):
@@ -94,11 +105,35 @@ def test_mirror_keeps_partitions(spark, golden_root, tmp_path):
     uris = sinks.mirror_dataset(
         spark, golden_root, "trip_updates", dst, schemas.TRIP_UPDATES_LANDED, ("date", "hour", "poll")
     ).collect()
-    assert uris and all("trip_updates/date=2026-07-30/hour=8/poll=20260730T080000/" in u.uri for u in uris)
-    assert read_realtime(spark, dst, "trip_updates").count() == 3
+    polls = {"date=2031-03-05/hour=9/poll=20310305T091100", "date=2031-03-12/hour=9/poll=20310312T091500"}
+    assert {u.uri.partition("trip_updates/")[2].rpartition("/")[0] for u in uris} == polls
+    assert read_realtime(spark, dst, "trip_updates").count() == 4
     assert sinks.mirror_dataset(spark, golden_root, "trip_updates", None, schemas.TRIP_UPDATES_LANDED, ()).count() == 0
 
 
+def test_mirror_of_one_poll_leaves_the_rest(spark, golden_root, tmp_path):
+    dst = str(tmp_path / "mirror")
+    uris = sinks.mirror_dataset(
+        spark, golden_root, "trip_updates", dst, schemas.TRIP_UPDATES_LANDED, ("date", "hour", "poll"),
+        only=F.col("poll") == "20310305T091100",
+    ).collect()
+    assert len(uris) == 1 and "poll=20310305T091100" in uris[0].uri
+    assert {r.poll for r in read_realtime(spark, dst, "trip_updates").collect()} == {"20310305T091100"}
+
+
+def test_one_large_poll_is_written_by_many_tasks(spark, golden, tmp_root):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(size)
+    poll = _polls(golden, 1785421500).crossJoin(spark.range(3000).select()).repartition(8)
+    try:
+        spark.conf.set(size, "16k")
+        sinks.write_realtime(poll, tmp_root, "trip_updates", one_file_per_poll=True)
+    finally:
+        spark.conf.set(size, old)
+    files = read_realtime(spark, tmp_root, "trip_updates").select("_metadata.file_path").distinct().count()
+    assert files > 1 and read_realtime(spark, tmp_root, "trip_updates").count() == 12000
+
+
 def test_append_manifest(spark, tmp_root):
     rows = spark.createDataFrame([("a" * 64, "2026-07-30T04:00:00", "20260730", "20260801")], schemas.VERSIONS)
     sinks.append_manifest(rows, tmp_root)
@@ -114,9 +149,9 @@ def test_since_prunes_realtime_partitions(spark, golden_root):
 
     from headway.sources.readers import load_landing
 
-    raw = load_landing(spark, golden_root, since=dt.date(2026, 7, 31))
+    raw = load_landing(spark, golden_root, since=dt.date(2031, 3, 13))
     assert raw.trip_updates.count() == 0
-    assert load_landing(spark, golden_root, since=dt.date(2026, 7, 30)).trip_updates.count() == 3
+    assert load_landing(spark, golden_root, since=dt.date(2031, 3, 12)).trip_updates.count() == 3
     buf = io.StringIO()
     with redirect_stdout(buf):
         raw.trip_updates.explain()
