@@ -1,47 +1 @@
-"""Column expressions used by the operators (all JVM built-ins)."""
-
-from headway.functions.buckets import (
-    DELAY_BUCKETS,
-    ON_TIME_MAX_SEC,
-    ON_TIME_MIN_SEC,
-    delay_bucket_label,
-    delay_bucket_order,
-    is_on_time,
-)
-from headway.functions.dates import (
-    epoch_to_timestamp,
-    epoch_to_utc_wall,
-    epoch_utc_date,
-    epoch_utc_hour,
-    local_hour,
-    local_wall,
-    parse_iso_instant,
-    parse_yyyymmdd,
-    poll_key,
-    service_midnight,
-    ymd,
-)
-from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval, seconds_interval
-
-__all__ = [
-    "DELAY_BUCKETS",
-    "ON_TIME_MAX_SEC",
-    "ON_TIME_MIN_SEC",
-    "delay_bucket_label",
-    "delay_bucket_order",
-    "epoch_to_timestamp",
-    "epoch_to_utc_wall",
-    "epoch_utc_date",
-    "epoch_utc_hour",
-    "gtfs_time_seconds",
-    "gtfs_time_to_interval",
-    "is_on_time",
-    "local_hour",
-    "local_wall",
-    "parse_iso_instant",
-    "parse_yyyymmdd",
-    "poll_key",
-    "seconds_interval",
-    "service_midnight",
-    "ymd",
-]
+"""Column expressions: dates and zones, schedule times, delay buckets."""

@@ -17,6 +17,9 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The table and column names below are fixed values: they must equal those of
+# stored landing zones.
+
 # Version manifest: one row per ingested schedule archive.
 VERSIONS = _struct(
     ("version", S),
