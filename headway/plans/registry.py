@@ -20,10 +20,10 @@ from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval
 from headway.operators import analytics, flatten, marts, quality, staging, versions
 from headway.plans import sinks
 from headway.plans.ingest import ingest_realtime
-from headway.plans.warehouse import Marts, Warehouse
+from headway.plans.warehouse import Marts, Warehouse, write_marts
 from headway.session import scratch_path
-from headway.sources import derived
-from headway.sources.readers import read_manifest, read_realtime, read_static
+from headway.sources import archives, derived
+from headway.sources.readers import load_landing, read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def _wh(spark: SparkSession, sf_dir: str, fact_form: str = "resolved") -> Wareho
     return Warehouse(derived.load_derived(spark, sf_dir), fact_form=fact_form)
 
 
+def _utc_wall(column: str):
+    """A staged instant, whatever the session's zone, as UTC wall clock."""
+    return epoch_to_utc_wall(F.unix_seconds(column))
+
+
 # ── staging ──────────────────────────────────────────────────────────────────
 
 
@@ -61,16 +66,14 @@ def q_stg_calendar_dates(spark, sf_dir):
 
 
 def q_stg_trip_updates(spark, sf_dir):
-    return _wh(spark, sf_dir).stg_trip_updates.withColumn(
-        "feed_ts", epoch_to_utc_wall("feed_timestamp")
-    )
+    return _wh(spark, sf_dir).stg_trip_updates.withColumn("feed_ts", _utc_wall("feed_ts"))
 
 
 def q_stg_vehicle_positions(spark, sf_dir):
     return _wh(spark, sf_dir).stg_vehicle_positions.withColumns(
         {
-            "feed_ts": epoch_to_utc_wall("feed_timestamp"),
-            "position_ts": epoch_to_utc_wall("position_epoch"),
+            "feed_ts": _utc_wall("feed_ts"),
+            "position_ts": _utc_wall("position_ts"),
         }
     )
 
@@ -251,6 +254,18 @@ def q_mart_readiness(spark, sf_dir):
     )
 
 
+def q_check_unique_staged(spark, sf_dir):
+    """Q5 where it fails: a stop is staged once for each version that lists it."""
+    return quality.unique_failures(_wh(spark, sf_dir).stg_stops, "stop_id")
+
+
+def q_check_orphan_positions(spark, sf_dir):
+    """Q7 where it fails: vehicle positions at stops that no version lists."""
+    wh = _wh(spark, sf_dir)
+    found = quality.relationship_failures(wh.stg_vehicle_positions, "stop_id", wh.dim_stops, "stop_id")
+    return found.select("entity_id", "vehicle_id", "stop_id")
+
+
 # ── ingest, sinks, publishing ────────────────────────────────────────────────
 
 _TU_FLAT = schemas.TRIP_UPDATES.fieldNames()
@@ -327,6 +342,70 @@ def q_ingest_realtime(spark, sf_dir):
     return read_realtime(spark, root, "vehicle_positions")
 
 
+def q_content_hash(spark, sf_dir):
+    """Texts by the hash of their bytes; exact copies fall together."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    hashed = docs.select(versions.content_hash(F.col("text").cast("binary")).alias("version"))
+    return hashed.groupBy("version").agg(F.count(F.lit(1)).alias("n_copies"))
+
+
+#: Stop times that one archive of the round trip below holds, about.
+_ARCHIVE_ROWS = 20_000
+
+
+def _zip_block(pdf):
+    """One archive of a block of stop times; the other tables are absent or empty."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("stop_times.txt", pdf.drop(columns="block").to_csv(index=False).encode("utf-8-sig"))
+        z.writestr("stops.txt", "stop_id,stop_name\n")
+    return pd.DataFrame({"content": [body.getvalue()]})
+
+
+def _archives(spark, sf_dir):
+    """Stop times packed as zip archives of bounded size, by blocks of trips."""
+    st = derived.stop_times(spark, sf_dir).withColumnRenamed("version", "listed_by")
+    blocks = max(1, st.count() // _ARCHIVE_ROWS)
+    packed = (
+        st.withColumn("block", F.pmod(F.xxhash64("trip_id", "stop_sequence", "listed_by"), F.lit(blocks)))
+        .groupBy("block")
+        .applyInPandas(_zip_block, "content binary")
+    )
+    return packed.select("content", versions.content_hash("content").alias("version"))
+
+
+def q_archive_unpack(spark, sf_dir):
+    """Archives unpacked again; a column that staging does not know comes along."""
+    rows = archives.table_rows(archives.unpack_archives(_archives(spark, sf_dir)), "stop_times")
+    return rows.drop("version").withColumnRenamed("listed_by", "version")
+
+
+def q_archive_skipped_tables(spark, sf_dir):
+    """Tables that the archives lack or have empty, over all archives."""
+    packed = _archives(spark, sf_dir)
+    lacking = archives.skipped_tables(packed, archives.unpack_archives(packed))
+    return lacking.select("table_name").distinct()
+
+
+def q_landing_to_marts(spark, sf_dir):
+    """The product's path: land every raw table, build and store the marts from
+    the landing zone, read them back, and ask the dashboard's first question."""
+    root, out = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    raw = derived.load_derived(spark, sf_dir)
+    sinks.append_manifest(raw.versions, root)
+    for table in schemas.STATIC_TABLES:
+        sinks.write_static(getattr(raw, table), root, table)
+    for feed in ("trip_updates", "vehicle_positions"):
+        sinks.write_realtime(getattr(raw, feed), root, feed, one_file_per_poll=True)
+    write_marts(Warehouse(load_landing(spark, root)), out)
+    return Marts.read(spark, out).punctuality_by_route()
+
+
 # ── streaming ────────────────────────────────────────────────────────────────
 
 
@@ -444,6 +523,12 @@ QUERIES: dict[str, Query] = {
     "static_round_trip": q_static_round_trip,
     "manifest_append": q_manifest_append,
     "ingest_realtime": q_ingest_realtime,
+    "check_unique_staged": q_check_unique_staged,
+    "check_orphan_positions": q_check_orphan_positions,
+    "content_hash": q_content_hash,
+    "archive_unpack": q_archive_unpack,
+    "archive_skipped_tables": q_archive_skipped_tables,
+    "landing_to_marts": q_landing_to_marts,
     "stream_flatten": q_stream_flatten,
     "stream_latest_observation": q_stream_latest_observation,
     "incremental_fact": q_incremental_fact,
