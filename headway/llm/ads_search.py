@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headway.llm.store import materialise
@@ -159,23 +160,32 @@ def build_index(vectors: DataFrame, lists: int | None = None) -> Index | None:
 
 
 def _exact(vectors: DataFrame, queries: np.ndarray, own: np.ndarray, k: int, width: int) -> pd.DataFrame:
-    """True neighbours of a bounded set of queries: each task keeps its k best, then Spark ranks them."""
+    """(n, v): true neighbours of a bounded set of queries.
+
+    Each task keeps its k best of each query, and Spark ranks those."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, width))) for _ in queries]
         for batch in batches:
             ids, x = batch.column("vec_id").to_numpy(zero_copy_only=False), _matrix(batch.column("v"), width)
             for n, (q, me) in enumerate(zip(queries, own, strict=True)):
-                score = x @ q
                 other = np.flatnonzero(ids != me)
-                top = other[_best(ids[other], score[other], k)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(top), n)), pa.array(score[top]), pa.array(list(x[top]), pa.list_(pa.float64()))],
-                    ["n", "score", "v"],
-                )
+                score = (x @ q)[other]
+                top = _best(ids[other], score, k)
+                have = best[n]
+                merged = [np.concatenate(p) for p in ((have[0], ids[other][top]), (have[1], score[top]), (have[2], x[other][top]))]
+                keep = _best(merged[0], merged[1], k)
+                best[n] = (merged[0][keep], merged[1][keep], merged[2][keep])
+        for n, (ids, score, x) in enumerate(best):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(ids), n)), pa.array(ids), pa.array(score), pa.array(list(x), pa.list_(pa.float64()))],
+                ["n", "vec_id", "score", "v"],
+            )
 
-    rows = vectors.select("vec_id", "v").mapInArrow(run, "n long, score double, v array<double>")
-    ranked = rows.groupBy("n").agg(F.slice(F.sort_array(F.collect_list(F.struct("score", "v")), asc=False), 1, k).alias("best"))
-    return ranked.toPandas()  # at most FIT_QUERIES x k
+    rows = vectors.select("vec_id", "v").mapInArrow(run, "n long, vec_id long, score double, v array<double>")
+    order = W.partitionBy("n").orderBy(F.desc("score"), "vec_id")
+    ranked = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    return ranked.select("n", "v").toPandas()  # at most FIT_QUERIES x k rows
 
 
 def fit_probes(vectors: DataFrame, queries: DataFrame, index: Index, k: int, share: float = FITTED) -> int:
@@ -187,10 +197,9 @@ def fit_probes(vectors: DataFrame, queries: DataFrame, index: Index, k: int, sha
     truth = _exact(vectors, q, np.array([r[0] for r in drawn]), k, index.width)
     order = index.probes(q, len(index.centroids))
     place = np.argsort(order, axis=1)
-    needed = [place[n, index.home(np.array([b["v"] for b in best]))] for n, best in zip(truth["n"], truth["best"], strict=True) if len(best)]
-    if not needed:
+    if not len(truth):
         return len(index.centroids)
-    needed = np.sort(np.concatenate(needed))
+    needed = np.sort(place[truth["n"].to_numpy(), index.home(np.array(truth["v"].tolist()))])
     return int(needed[int(np.ceil(share * len(needed))) - 1]) + 1
 
 
