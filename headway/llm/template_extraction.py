@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ RARE = 0.02
 HOLDS = 0.6
 #: Pages that must agree before a text counts as fixed.
 FIXED_PAGES = 4
+#: Levels of nesting that paths tell apart; deeper elements belong to their holder's path.
+DEPTH = 64
 #: Bytes of templates that are sent to every task; beyond, pages are joined to them by host.
 SMALL = 32 << 20
 SALTS = 64
@@ -45,6 +48,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
 )
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dd dt td th figcaption".split())
+ITEMS = frozenset("li dt dd tr td th option".split())
+HOLDERS = frozenset("ul ol dl table".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog button fieldset head".split())
 # Words in class or id that mark what is not the article.
 MARKS = frozenset(
@@ -73,12 +78,13 @@ def _element(tag: str, attributes: str) -> str:
 
 def blocks(page: str) -> Iterator[tuple[str, str | None, int]]:
     """(path, text, characters within links) of each block, and (path, None, 0) for each element opened."""
-    stack: list[tuple[str, str]] = []
+    stack: list[tuple[str, str]] = []  # tag, path
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked = links = 0
 
     def path() -> str:
-        return "/".join(name for tag, name in stack if tag not in INLINE)
+        return stack[-1][1] if stack else ""
 
     def flush() -> tuple[str, str, int] | None:
         nonlocal linked
@@ -90,9 +96,10 @@ def blocks(page: str) -> Iterator[tuple[str, str | None, int]]:
         return (path(), whole, size) if whole else None
 
     def pop(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
+        while opened[tag]:
+            last, _ = stack.pop()
+            opened[last] -= 1
+            if last == tag:
                 return
 
     for m in _TOKEN.finditer(page):
@@ -118,20 +125,22 @@ def blocks(page: str) -> Iterator[tuple[str, str | None, int]]:
             continue
         if not inline:
             # what an opening tag ends without saying so
-            open_tags = [t for t, _ in stack]
-            if "p" in open_tags:
-                pop("p")
-            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and tag in open_tags:
-                holder = max((k for k, t in enumerate(open_tags) if t in ("ul", "ol", "dl", "table")), default=-1)
-                if open_tags[::-1].index(tag) < len(open_tags) - 1 - holder:
+            pop("p")
+            if tag in ITEMS and opened[tag]:
+                nearest = next(t for t, _ in reversed(stack) if t == tag or t in HOLDERS)
+                if nearest == tag:
                     pop(tag)
-            if tag == "body" and "head" in open_tags:
+            if tag == "body":
                 pop("head")
         elif tag == "a":
             links += 1
         if m.group(4).endswith("/"):
             continue
-        stack.append((tag, _element(tag, m.group(4))))
+        holder = path()
+        if not inline and holder.count("/") < DEPTH:
+            holder = f"{holder}/{_element(tag, m.group(4))}" if holder else _element(tag, m.group(4))
+        stack.append((tag, holder))
+        opened[tag] += 1
         if not inline:
             yield path(), None, 0
     if found := flush():

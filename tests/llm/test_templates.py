@@ -63,7 +63,7 @@ def test_odd_pages(spark):
         (3, "http://b.example", "<p>cut <b>off <a href='x", "t", "h", "s"),
         (4, "http://c.example", "<!-- never ends", "t", "h", "s"),
         (5, "http://c.example", "<" * 2000 + ">" * 2000, "t", "h", "s"),
-        (6, "http://d.example", "<div>" * 3000 + "deep", "t", "h", "s"),
+        (6, "http://d.example", "<div>" * 100_000 + "deep" + "</p>" * 100_000, "t", "h", "s"),
         (7, "http://e.example", "<script>x", "t", "h", "s"),
         (7, "http://e.example", "<script>x", "t", "h", "s"),
     ]
