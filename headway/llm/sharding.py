@@ -24,7 +24,7 @@ def text_bytes(text: Column) -> Column:
 
 
 def byte_prefix_shards(
-    docs: DataFrame, shards: int = 24, row_bytes: int = ROW_BYTES, whole_share: float = 0.02
+    docs: DataFrame, shards: int = 24, row_bytes: int = ROW_BYTES, whole_share: float = 0.005
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
