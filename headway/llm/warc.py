@@ -34,6 +34,8 @@ from headway.llm.store import materialise, new_folder
 #: Payload bytes after which a task begins another archive, and bytes inflated at a time.
 FILE_BYTES = 64 << 20
 PIECE = 1 << 20
+#: Revisits (rows of about 100 bytes) that are sent to every task; beyond, pages are joined to them by payload.
+SMALL_ROWS = 500_000
 GZIP = 31  # window bits that make zlib read and write gzip
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:page:"
@@ -146,7 +148,12 @@ def resolve_revisits(pages: DataFrame) -> DataFrame:
     )
     # only payloads that occur again are looked at, as narrow rows
     narrow = own.select("page_id", "digest").join(last, "digest").where(~F.col("page_id").eqNullSafe(F.col("last")))
-    refers = narrow.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), F.col("last").alias("refers_to")).distinct()
+    refers = materialise(
+        narrow.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), F.col("last").alias("refers_to")).distinct(),
+        "warc-revisits",
+    )
+    if refers.count() <= SMALL_ROWS:  # else a shuffle join, whose hot payloads Spark splits
+        refers = F.broadcast(refers)
     return own.join(refers, (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page")), "left").select(
         "page_id", "url", "html", "refers_to"
     )
@@ -231,8 +238,11 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
     into ``folder`` and returns the index: uri, offset, length, record_id,
     record_type, one row a record.  One archive is one task's work at a time.
     """
+    tasks = max(1, archives.count())
     return materialise(
-        archives.select("uri").repartition("uri").mapInArrow(_normalise_task(folder), "uri string, offset long, length long, record_id string, record_type string"),
+        archives.select("uri")
+        .repartitionByRange(tasks, "uri")
+        .mapInArrow(_normalise_task(folder), "uri string, offset long, length long, record_id string, record_type string"),
         "warc-index",
     )
 
@@ -280,7 +290,9 @@ def read_records(index: DataFrame) -> DataFrame:
     Each record is inflated alone.  A response's payload is checked against its
     stated size and digest; a revisit states both of the payload it refers to.
     """
-    return index.mapInArrow(_read_task, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
+    tasks = max(1, index.select("uri").distinct().count())
+    placed = index.repartitionByRange(tasks, "uri").sortWithinPartitions("uri", "offset")
+    return placed.mapInArrow(_read_task, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
 
 
 def warc_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
