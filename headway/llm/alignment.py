@@ -80,16 +80,17 @@ def _by_rows(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """Word edit distance if at most ``limit``, else None; the band widens as needed."""
+    """Word edit distance if at most ``limit``, else None; the band widens from twice the lower bound."""
     if abs(len(a) - len(b)) > limit:
         return None
     a, b = _trim(a, b)
     if not len(a) or not len(b):
         found = max(len(a), len(b))
         return found if found <= limit else None
-    if least_distance(a, b) > limit:
+    least = least_distance(a, b)
+    if least > limit:
         return None
-    band = max(8, abs(len(a) - len(b)))
+    band = max(8, 2 * least)
     while True:
         band = min(band, limit)
         way = _by_diagonals if (2 * band + 1) * (len(a) + 1) <= BAND_CELLS else _by_rows
