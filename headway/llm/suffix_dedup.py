@@ -35,6 +35,8 @@ REACH = WINDOW - GRAM  # starts of a window before its anchor
 #: Suffix groups of one part, and suffixes that one prefix may have in a part.
 PART = 20_000
 HOT = 50_000
+#: Anchors of a text that are laid out at once.
+BATCH = 8_192
 _NONE = (1 << 63) - 1
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -92,28 +94,38 @@ def _sequence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each anchor with its words from REACH before to WINDOW after it."""
+    """Each anchor with its words from REACH before to WINDOW after it.
+
+    Neighbouring anchors of equal words (one word said over and over) are one
+    row, from ``place`` to ``place_last``.
+    """
     for batch in batches:
         for r in range(batch.num_rows):
             (w,) = words_of(batch.column("text").slice(r, 1))
-            places = np.unique(np.array(batch.column("places")[r].as_py(), np.int64))
-            near = places[:, None] + np.arange(-REACH, WINDOW)
-            inside = (near >= 0) & (near < len(w.hashes))
-            words = np.where(inside, w.hashes[np.clip(near, 0, len(w.hashes) - 1)], np.uint64(0))
-            size = len(places)
-            width = near.shape[1] * 8
-            data = pa.py_buffer(words.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([batch.column("sequence")[r].as_py()] * size, pa.binary()),
-                    pa.array(np.full(size, batch.column("doc")[r].as_py(), np.int64)),
-                    pa.array(gram_hashes(w.hashes, GRAM)[places].view(np.int64)),
-                    pa.array(places.astype(np.int32)),
-                    pa.array(np.full(size, len(w.hashes), np.int32)),
-                    pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer((np.arange(size + 1) * width).astype(np.int32).tobytes()), data]),
-                ],
-                ["sequence", "doc", "key", "place", "n_words", "words"],
-            )
+            every = np.unique(np.array(batch.column("places")[r].as_py(), np.int64))
+            for lo in range(0, len(every), BATCH):
+                places = every[lo : lo + BATCH]
+                near = places[:, None] + np.arange(-REACH, WINDOW)
+                inside = (near >= 0) & (near < len(w.hashes))
+                words = np.where(inside, w.hashes[np.clip(near, 0, len(w.hashes) - 1)], np.uint64(0))
+                head = np.ones(len(places), bool)
+                head[1:] = (places[1:] != places[:-1] + 1) | (words[1:] != words[:-1]).any(axis=1)
+                last = places[np.append(head[1:], True)]
+                places, words = places[head], np.ascontiguousarray(words[head])
+                size, width = len(places), words.shape[1] * 8
+                offsets = pa.py_buffer((np.arange(size + 1) * width).astype(np.int32).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch.column("sequence")[r].as_py()] * size, pa.binary()),
+                        pa.array(np.full(size, batch.column("doc")[r].as_py(), np.int64)),
+                        pa.array(gram_hashes(w.hashes, GRAM)[places].view(np.int64)),
+                        pa.array(places),
+                        pa.array(last),
+                        pa.array(np.full(size, len(w.hashes), np.int64)),
+                        pa.Array.from_buffers(pa.binary(), size, [None, offsets, pa.py_buffer(words.tobytes())]),
+                    ],
+                    ["sequence", "doc", "key", "place", "place_last", "n_words", "words"],
+                )
 
 
 def node_ranks(words: np.ndarray) -> np.ndarray:
@@ -160,31 +172,48 @@ def _part_repeats(pdf: pd.DataFrame) -> pd.DataFrame:
         hit[order] = least < docs[order]
         covered[valid] = hit
     row, first, last = _runs(covered, place)
+    last += (pdf["place_last"].to_numpy(np.int64) - place)[row]
     out = pd.DataFrame({"sequence": pdf["sequence"].to_numpy()[row], "first": first, "last": last})
     return out.drop_duplicates()
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every whole window around each anchor, by the hash of its words."""
+    """Every whole window around each anchor, by the hash of its words.
+
+    Equal windows that start next to each other are one row with the first and
+    last start, and windows that neighbouring anchors share come once.
+    """
     for batch in batches:
         n = batch.num_rows
         words = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.uint64).reshape(n, REACH + WINDOW)
-        start = batch.column("place").to_numpy().astype(np.int64)[:, None] - REACH + np.arange(REACH + 1)
+        place = batch.column("place").to_numpy()
+        start = place[:, None] - REACH + np.arange(REACH + 1)
         valid = (start >= 0) & (start + WINDOW <= batch.column("n_words").to_numpy()[:, None])
         hashes = np.stack([gram_hashes(x, WINDOW) for x in words]) if n else np.zeros((0, REACH + 1), np.uint64)
         row, _ = np.nonzero(valid)
-        taken = batch.take(pa.array(row))
+        own = batch.column("sequence").dictionary_encode().indices.to_numpy()[row].astype(np.int64) << 40
+        first, window = own + start[valid], hashes[valid].view(np.int64)
+        last = first + (batch.column("place_last").to_numpy() - place)[row]
+        order = np.argsort(first, kind="stable")
+        row, own, first, last, window = row[order], own[order], first[order], last[order], window[order]
+        head = np.ones(len(row), bool)
+        head[1:] = (first[1:] > np.maximum.accumulate(last)[:-1] + 1) | (own[1:] != own[:-1]) | (window[1:] != window[:-1])
+        at = np.flatnonzero(head)
+        last = np.maximum.reduceat(last, at) if len(at) else last
+        taken = batch.take(pa.array(row[at]))
         yield pa.RecordBatch.from_arrays(
-            [taken.column("sequence"), taken.column("doc"), pa.array(start[valid]), pa.array(hashes[valid].view(np.int64))],
-            ["sequence", "doc", "first", "window"],
+            [taken.column("sequence"), taken.column("doc"), pa.array(first[at] - own[at]), pa.array(last - own[at]), pa.array(window[at])],
+            ["sequence", "doc", "first", "last", "window"],
         )
 
 
 def _hot_repeats(hot: DataFrame) -> DataFrame:
-    windows = materialise(hot.mapInArrow(_window_rows, "sequence binary, doc long, first long, window long"), "suffix-windows")
+    windows = materialise(
+        hot.mapInArrow(_window_rows, "sequence binary, doc long, first long, last long, window long"), "suffix-windows"
+    )
     least = windows.groupBy("window").agg(F.min("doc").alias("least"))
     found = windows.join(least, "window").where("least < doc")
-    return found.select("sequence", "first", (F.col("first") + WINDOW).alias("last")).distinct()
+    return found.select("sequence", "first", (F.col("last") + WINDOW).alias("last")).distinct()
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +271,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .dropDuplicates(["doc", "node"]),
         "suffix-texts",
     )
-    suffixes = texts.mapInArrow(_suffix_rows, "sequence binary, doc long, key long, place int, n_words int, words binary")
+    suffixes = texts.mapInArrow(_suffix_rows, "sequence binary, doc long, key long, place long, place_last long, n_words long, words binary")
     size = shared.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     hot_keys = shared.where(F.col("n") > HOT).select("key")
     usual = suffixes
