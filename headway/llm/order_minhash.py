@@ -1,10 +1,14 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
-A text's words (letter case and punctuation aside) give k-mers of five words,
+A text's words (letter case and punctuation aside) give k-mers of two words,
 each labelled with its occurrence number in the text.  Each of ``sketches``
 hash functions keeps the ``order`` labelled k-mers with the least hashes, in
 the order in which the text has them; the tuple is one bucket key.  Such tuples
-agree more often the smaller the edit distance is.  Within a bucket every text
+agree more often the smaller the edit distance is; their number follows from
+the share of links at the least similarity that shall meet.  Texts of at most
+``short`` words have exact keys besides: of the d + 1 segments of a text at
+most d are hit by d edits, and any text within reach has a key for each place
+where the one that is left can stand.  Within a bucket every text
 is paired with the bucket's least text only; pairs are verified by a banded
 alignment of whole texts, and verified pairs are joined into classes.
 
@@ -13,7 +17,9 @@ Equal texts are one node from the start.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +31,32 @@ from headway.llm.components import components
 from headway.llm.store import materialise
 from headway.llm.words import Words, gram_hashes, mix, rows_of, words_of
 
-K = 5
+K = 2
 ORDER = 2
-SKETCHES = 24
 SIMILARITY = 0.8
+#: Share of the links at just this similarity, edits as far apart as can be, that meet in a bucket.
+RECALL = 0.999
+#: Texts of at most this many words meet by exact keys too.
+SHORT = 24
 #: Pairs that share one copy of their centre's text.
 PAIRS_A_COPY = 64
 
+
+
+def sketches_for(recall: float, similarity: float, order: int, k: int) -> int:
+    """Sketches by which a pair of ``similarity`` meets with ``recall`` at least.
+
+    An edit changes at most k of a text's k-mers, so of n words' k-mers about
+    n (1 - k (1 - similarity)) are common, and a sketch agrees if the ``order``
+    least of all are.
+    """
+    lost = k * (1.0 - similarity)
+    agree = (max(0.0, 1.0 - lost) / (1.0 + lost)) ** order
+    return math.ceil(math.log(1.0 - recall) / math.log(1.0 - agree))
+
+
+SKETCHES = sketches_for(RECALL, SIMILARITY, ORDER, K)
+
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _rng = np.random.default_rng(8)
 _ODD = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,17 +118,68 @@ def sketch(w: Words, sketches: int = SKETCHES, k: int = K) -> np.ndarray:
     return keys
 
 
+def edits_allowed(n: int) -> int:
+    """Edits within the similarity if the longer text has ``n`` words."""
+    return int((1.0 - SIMILARITY) * n + 1e-9)
+
+
+@cache
+def short_places(m: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(segment's words, places in the text, salts) of the exact keys of a text of ``m`` words.
+
+    A text of n >= m words is cut into edits + 1 segments.  One that no edit
+    hits stands in the shorter text moved by as many words as the edits before
+    it add; those and the edits after it are within the edits allowed.
+    """
+    found: dict[int, set[tuple[int, int]]] = {}
+    for n in range(m, SHORT + 1):
+        d = edits_allowed(n)
+        if n - m > d:
+            continue
+        cuts = [n * i // (d + 1) for i in range(d + 2)]
+        for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            for move in range(-d, d + 1):
+                if abs(move) + abs(m - n - move) <= d and 0 <= lo + move and hi + move <= m:
+                    found.setdefault(hi - lo, set()).add((lo + move, n * (SHORT + 1) + i))
+    out = []
+    for size, places in sorted(found.items()):
+        at, salt = np.array(sorted(places), np.int64).T
+        out.append((size, at, mix(salt.astype(np.uint64) + np.uint64(1))))
+    return out
+
+
+def bucket_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds, keys) of each row's buckets: its sketches, and the exact keys of a short text; none without words."""
+    counts = np.diff(w.bounds)
+    few = [m for m in range(1, SHORT + 1) if np.any(counts == m)]
+    exact = np.zeros(SHORT + 1, np.int64)
+    for m in few:
+        exact[m] = sum(len(at) for _, at, _ in short_places(m))
+    size = np.where(counts > 0, SKETCHES, 0) + np.where(counts <= SHORT, exact[np.minimum(counts, SHORT)], 0)
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    keys = np.zeros(bounds[-1], np.uint64)
+    has = np.flatnonzero(counts > 0)
+    keys[bounds[has][:, None] + np.arange(SKETCHES)] = sketch(w)[has]
+    grams: dict[int, np.ndarray] = {}
+    for m in few:
+        rows = np.flatnonzero(counts == m)
+        to = bounds[rows] + SKETCHES
+        for words, at, salt in short_places(m):
+            if words not in grams:
+                grams[words] = gram_hashes(w.hashes, words)
+            keys[to[:, None] + np.arange(len(at))] = mix(grams[words][w.bounds[rows][:, None] + at] ^ salt)
+            to = to + len(at)
+    return bounds, keys
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for w in words_of(batch.column("text"), bare=True):
             n = w.last - w.first
             count = np.diff(w.bounds)
             part = batch.slice(w.first, n)
-            keys = sketch(w).view(np.int64)
-            has = np.where(count > 0, SKETCHES, 0)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(has)]), pa.int32()), pa.array(keys[count > 0].ravel(), pa.int64())
-            )
+            bounds, keys = bucket_keys(w)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("node"), pa.array(count, pa.int32()), lists],
                 ["doc_id", "node", "n_words", "keys"],

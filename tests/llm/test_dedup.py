@@ -5,10 +5,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from headway.llm import components, order_minhash, suffix_dedup
+from headway.llm.words import words_of
 from tests.llm.conftest import as_documents, prose
 from tests.llm.test_alignment import table
 
@@ -66,6 +68,57 @@ def test_near_duplicates_equal_brute_force(spark):
     assert classes.agg(F.sum("class_rows")).first()[0] == len(rows)
 
 
+def met(pairs):
+    """Whether the two texts of each pair share a bucket."""
+    column = pa.array([t for pair in pairs for t in pair])
+    out = []
+    for w in words_of(column, bare=True, limit=1 << 30):
+        bounds, keys = order_minhash.bucket_keys(w)
+        sets = [set(keys[i:j].tolist()) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+        out += [bool(a & b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    return out
+
+
+def test_short_texts_meet_whatever_the_edits():
+    """5 to 24 words with as many substitutions, insertions and deletions as a link allows, anywhere."""
+    pairs = []
+    for seed in range(3000):
+        rnd = random.Random(seed)
+        n = rnd.randrange(5, 25)
+        a = prose(seed, n).split()
+        b = list(a)
+        for k in range(n // 5):
+            at = rnd.randrange(len(b))
+            b[at : at + rnd.choice([0, 1, 1])] = [f"new{seed}x{k}"][: rnd.choice([0, 1, 1])]
+        longer = max(len(a), len(b))
+        if b and longer <= order_minhash.SHORT and table(a, b) <= 0.2 * longer + 1e-9:
+            pairs.append((" ".join(a), " ".join(b)))
+    pairs += [(prose(k, 5 * d), " ".join("new" if i % 5 == 2 else x for i, x in enumerate(prose(k, 5 * d).split()))) for k in range(50) for d in (1, 2, 3, 4)]
+    assert len(pairs) > 2500 and all(met(pairs))
+
+
+def test_long_texts_meet_at_the_least_similarity():
+    """Every fifth word changed (0.8), and edits at random places from 0.8 to 0.9."""
+    pairs = []
+    for k in range(400):
+        words = prose(k, 100 + k).split()
+        rnd = random.Random(k)
+        n = len(words)
+        at = set(range(2, n, 5)) if k % 2 else set(rnd.sample(range(n), int(n * rnd.uniform(0.1, 0.2))))
+        pairs.append((" ".join(words), " ".join(f"new{i}" if i in at else x for i, x in enumerate(words))))
+    assert sum(met(pairs)) >= 398
+
+
+def test_links_of_short_texts_equal_brute_force(spark):
+    rows = []
+    for g in range(40):
+        words = prose(3000 + g, 5 + g % 20).split()
+        rows.append((10 * g, " ".join(words), "s"))
+        rows.append((10 * g + 1, " ".join("new" if i % 5 == 2 else x for i, x in enumerate(words)), "s"))
+    found, _ = order_minhash.near_duplicate_classes(as_documents(spark, rows))
+    assert classes_of(found) == brute_classes(rows)
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
     short = [r for r in odd_rows if len(r[1] or "") < 5000]
     got = order_minhash.near_duplicates(odd)
