@@ -9,8 +9,11 @@ the share of links at the least similarity that shall meet.  Texts of at most
 ``short`` words have exact keys besides: of the d + 1 segments of a text at
 most d are hit by d edits, and any text within reach has a key for each place
 where the one that is left can stand.  Within a bucket every text
-is paired with the bucket's least text only; pairs are verified by a banded
-alignment of whole texts, and verified pairs are joined into classes.
+is paired with the bucket's least text first, then, where a bucket's texts are
+not of one class yet, with another centre, and at last with every text of
+another class: texts that share a bucket are compared unless links join them.
+The last two leave out pairs whose word counts alone (in 256 bags) show too many
+edits.  Pairs are verified by a banded alignment of whole texts.
 
 Equal texts are one node from the start.
 """
@@ -20,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,10 @@ SIMILARITY = 0.8
 RECALL = 0.999
 #: Texts of at most this many words meet by exact keys too.
 SHORT = 24
+#: Texts of a bucket that are paired at once with as many of the bucket's texts of other classes.
+CHUNK = 512
+#: Bags of words that a text's words are counted in, up to 255.
+BAGS = 256
 #: Pairs that share one copy of their centre's text.
 PAIRS_A_COPY = 64
 
@@ -172,6 +180,29 @@ def bucket_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return bounds, keys
 
 
+def bags_of(w: Words) -> np.ndarray:
+    """Words in each bag (rows x BAGS), 255 standing for that many or more."""
+    n = len(w.bounds) - 1
+    slots = rows_of(w.bounds) * BAGS + (w.hashes >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(slots, minlength=n * BAGS), 255).astype(np.uint8).reshape(n, BAGS)
+
+
+def _few_edits(a: np.ndarray, b: np.ndarray, words_a: np.ndarray, words_b: np.ndarray) -> np.ndarray:
+    """Whether bags and word counts of the pairs' texts leave the similarity possible."""
+    out = np.empty(len(a), bool)
+    for i in range(0, len(a), 1 << 14):
+        x, y = a[i : i + (1 << 14)], b[i : i + (1 << 14)]
+        common = np.minimum(x, y)
+        longer = np.maximum(words_a[i : i + (1 << 14)], words_b[i : i + (1 << 14)])
+        least = longer - common.sum(axis=1, dtype=np.int64)
+        out[i : i + (1 << 14)] = (least <= (1.0 - SIMILARITY) * longer + 1e-9) | (common == 255).any(axis=1)
+    return out
+
+
+def _bag_array(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BAGS)
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for w in words_of(batch.column("text"), bare=True):
@@ -181,8 +212,8 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             bounds, keys = bucket_keys(w)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("node"), pa.array(count, pa.int32()), lists],
-                ["doc_id", "node", "n_words", "keys"],
+                [part.column("doc_id"), part.column("node"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary())],
+                ["doc_id", "node", "n_words", "keys", "bags"],
             )
 
 
@@ -206,10 +237,15 @@ def text_node(text: str = "text") -> F.Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
+def _near(a: str, b: str) -> F.Column:
+    """Whether texts of ``a`` and ``b`` words can be as similar as a link asks."""
+    return F.least(a, b) >= F.greatest(a, b) * SIMILARITY - 1e-9
+
+
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(u, v) with u the least node of a bucket that holds v too; nodes: node, n_words, keys.
+    """(u, v, near) with u the least node of a bucket that holds v too; nodes: node, n_words, keys.
 
-    Texts whose lengths alone rule out the similarity are not paired.
+    Not ``near``: lengths alone rule out the similarity.
     """
     rows = nodes.select("node", "n_words", F.explode("keys").alias("key"))
     centres = (
@@ -218,8 +254,111 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("key", F.col("c.node").alias("u"), F.col("c.n_words").alias("u_words"))
     )
-    near = F.least("u_words", "n_words") >= F.greatest("u_words", "n_words") * SIMILARITY - 1e-9
-    return rows.join(centres, "key").where((F.col("u") != F.col("node")) & near).select("u", F.col("node").alias("v")).distinct()
+    pairs = rows.join(centres, "key").where(F.col("u") != F.col("node"))
+    return pairs.select("u", F.col("node").alias("v"), _near("u_words", "n_words").alias("near")).distinct()
+
+
+def mixed_buckets(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, n_words, class, bags) of the buckets that hold texts of different classes; roots: node, root."""
+    own = nodes.join(roots, "node", "left").withColumn("class", F.xxhash64(F.coalesce("root", "node")))
+    rows = own.select("node", "class", F.explode(F.array_distinct("keys")).alias("key"))
+    keys = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
+    return rows.join(keys, "key").join(nodes.select("node", "n_words", "bags"), "node").select("key", "node", "n_words", "class", "bags")
+
+
+def _centre_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [batch.column(x).to_numpy() for x in ("n_words", "words")]
+        kept = batch.filter(pa.array(_few_edits(*(_bag_array(batch.column(x)) for x in ("bags", "its_bags")), *words)))
+        yield kept.select(["node", "other"])
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+
+
+def centre_pairs(mixed: DataFrame) -> DataFrame:
+    """(u, v) of a centre drawn by hash in each bucket and its texts of other classes."""
+    drawn = F.min_by("node", F.xxhash64("key", "node"))
+    centres = mixed.groupBy("key").agg(drawn.alias("other"))
+    its = [F.col(x).alias(y) for x, y in (("key", "key"), ("node", "other"), ("n_words", "words"), ("class", "its"), ("bags", "its_bags"))]
+    centres = centres.join(mixed.select(*its), ["key", "other"])
+    pairs = mixed.join(centres, "key").where((F.col("class") != F.col("its")) & _near("n_words", "words"))
+    return _ordered(pairs.select("node", "other", "n_words", "words", "bags", "its_bags").mapInArrow(_centre_batches, "node binary, other binary"))
+
+
+def _group_pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs of one chunk's texts with another's."""
+    every = group.column("every").to_numpy()
+    a, b = np.flatnonzero(~every), np.flatnonzero(every)
+    words, its = group.column("n_words").to_numpy(), group.column("class").to_numpy()
+    largest = group.column("of_largest").to_numpy()
+    high, low = np.frombuffer(b"".join(group.column("node").to_pylist()), ">u8").reshape(-1, 2).astype(np.uint64).T
+    first = (high[a][:, None] < high[b]) | ((high[a][:, None] == high[b]) & (low[a][:, None] < low[b]))
+    near = np.minimum(words[a][:, None], words[b]) >= np.maximum(words[a][:, None], words[b]) * SIMILARITY - 1e-9
+    i, j = np.nonzero((its[a][:, None] != its[b]) & (largest[b] | first) & near)
+    a, b = a[i], b[j]
+    bags = _bag_array(group.column("bags"))
+    few = np.empty(len(a), bool)
+    for k in range(0, len(a), 1 << 14):  # bags of some pairs at once
+        x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
+        few[k : k + (1 << 14)] = _few_edits(bags[x], bags[y], words[x], words[y])
+    return a[few], b[few]
+
+
+def _other_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each group of rows (sorted by group); one that a batch cuts is held until it is whole."""
+    held = None
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new]).combine_chunks()
+        if held is None or not len(held):
+            continue
+        ids = np.stack([held.column(x).to_numpy() for x in ("key", "part", "chunk")], 1)
+        cuts = [0, *(np.flatnonzero(np.any(ids[1:] != ids[:-1], axis=1)) + 1).tolist(), *([len(held)] if batch is None else [])]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            group = held.slice(i, j - i)
+            a, b = _group_pairs(group)
+            if len(a):
+                node = group.column("node").combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], ["node", "other"])
+        held = held.slice(cuts[-1])
+
+
+def other_pairs(mixed: DataFrame) -> DataFrame:
+    """(u, v) of all texts of different classes that share a bucket.
+
+    Texts outside a bucket's largest class are paired with all others; both are
+    dealt to chunks, so a large bucket's pairs spread over tasks.
+    """
+    sizes = mixed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+    buckets = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"))
+    buckets = buckets.select(
+        "key",
+        F.col("top.class").alias("largest"),
+        F.ceil((F.col("n") - F.col("top.n")) / CHUNK).cast("int").alias("parts"),
+        F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"),
+    )
+    rows = mixed.join(buckets, "key").withColumn("of_largest", F.col("class") == F.col("largest"))
+    own = [F.pmod(F.xxhash64("node"), F.col(x)).cast("int") for x in ("parts", "chunks")]
+    each = [F.explode(F.sequence(F.lit(0), F.col(x) - 1)) for x in ("parts", "chunks")]
+    names = ["node", "n_words", "class", "of_largest", "bags"]
+    few = rows.where("not of_largest").select("key", own[0].alias("part"), each[1].alias("chunk"), F.lit(False).alias("every"), *names)
+    every = rows.select("key", each[0].alias("part"), own[1].alias("chunk"), F.lit(True).alias("every"), *names)
+    group = ["key", "part", "chunk"]
+    dealt = few.unionByName(every).repartition(*group).sortWithinPartitions(*group)
+    return _ordered(dealt.mapInArrow(_other_batches, "node binary, other binary"))
+
+
+def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after ``links`` (u, v) join classes of ``roots`` (node, root)."""
+    ends = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    known = roots.unionByName(ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
+    of = [known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "uv"]
+    edges = links.select("u", "v").join(of[0], "u").join(of[1], "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))
+    moved = components(edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return known.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
 
 
 def verified_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -254,7 +393,7 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     all others.  Repeated rows fall in one class.  Empty table: empty result.
     """
     plain = docs.select("doc_id", text_node().alias("node"), "text")
-    sketched = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, node binary, n_words int, keys array<long>"), "omh-sketch")
+    sketched = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, node binary, n_words int, keys array<long>, bags binary"), "omh-sketch")
     last = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
     nodes = materialise(
         sketched.groupBy("node").agg(
@@ -262,6 +401,7 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.count(F.lit(1)).alias("n"),
             F.first("n_words").alias("n_words"),
             F.first("keys").alias("keys"),
+            F.first("bags").alias("bags"),
         ),
         "omh-nodes",
     )
@@ -275,8 +415,17 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .dropDuplicates(["node", "least_id"]),
         "omh-texts",
     )
-    linked = materialise(verified_pairs(pairs, texts), "omh-links")
-    roots = components(linked.select("u", "v"))
+    tried = pairs.where("near").select("u", "v")
+    linked = materialise(verified_pairs(tried, texts), "omh-links")
+    roots = materialise(components(linked.select("u", "v")), "omh-roots")
+    shared = nodes.join(touched, "node", "left_semi").select("node", "n_words", "keys", "bags")
+    for others in (centre_pairs, other_pairs):
+        mixed = materialise(mixed_buckets(shared, roots), "omh-mixed")
+        more = materialise(others(mixed).join(tried, ["u", "v"], "left_anti"), "omh-pairs")
+        linked = materialise(verified_pairs(more, texts), "omh-links")
+        tried = tried.unionByName(more)
+        if not linked.isEmpty():
+            roots = materialise(merged_roots(roots, linked), "omh-roots")
     placed = materialise(
         nodes.select("node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "omh-roots"
     )

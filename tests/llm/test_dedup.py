@@ -119,6 +119,26 @@ def test_links_of_short_texts_equal_brute_force(spark):
     assert classes_of(found) == brute_classes(rows)
 
 
+def test_texts_alike_but_unlike_their_centre_are_linked(spark, monkeypatch):
+    """All texts in one bucket: pairs of alike texts, whatever the bucket's least text is."""
+    sketches = order_minhash._sketch_batches
+
+    def one_bucket(batches):
+        for batch in sketches(batches):
+            at = batch.schema.get_field_index("keys")
+            yield batch.set_column(at, "keys", pa.array([[7]] * batch.num_rows, pa.list_(pa.int64())))
+
+    monkeypatch.setattr(order_minhash, "_sketch_batches", one_bucket)
+    monkeypatch.setattr(order_minhash, "CHUNK", 4)
+    rows = []
+    for g in range(8):
+        base = prose(600 + g, 30 + 10 * g)
+        rows += [(10 * g + k, edited(base, k, 0.08 * k), "s") for k in range(3)]
+    found, _ = order_minhash.near_duplicate_classes(as_documents(spark, rows))
+    assert classes_of(found) == brute_classes(rows)
+    assert max(Counter(map(len, classes_of(found)))) > 1
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
     short = [r for r in odd_rows if len(r[1] or "") < 5000]
     got = order_minhash.near_duplicates(odd)
