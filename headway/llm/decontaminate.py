@@ -5,7 +5,9 @@ n-gram is a seed if it is rare: the product of its words' shares of the corpus
 is at most ``rare``; each item also has its few rarest n-grams as seeds.  A
 document's n-grams are looked up among the seeds; every hit places an item on
 the document, and the passage around it is aligned with the whole item.  The
-score is the alignment's share of a perfect copy's.
+score is the alignment's share of a perfect copy's.  An item of fewer words than
+a seed is evidence only if its words together are as rare as a seed's, or if it
+is the whole document.
 
 Items are handled in blocks of a bounded number of words.  A block's seeds and
 words go to every task (a join with a side of known size); documents are never
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.alignment import local_alignment
+from headway.llm.alignment import least_distance, local_alignment
 from headway.llm.words import gram_hashes, mix, rows_of, words_of
 
 N = 4
@@ -32,14 +34,13 @@ SCORE = 0.6
 MATCH = 2
 #: Words of items that one pass over the documents looks for.
 BLOCK_WORDS = 1_000_000
-#: Longer items are cut into pieces of this many words, judged one by one.
-PIECE_WORDS = 2_000
 
 
 @dataclass
 class Block:
-    """Seeds of some pieces of items: ``seeds`` sorted; seed i belongs to the
-    places ``places[bounds[i]:bounds[i+1]]`` = (piece, offset in it)."""
+    """Seeds of some items: ``seeds`` sorted; seed i belongs to the places
+    ``places[bounds[i]:bounds[i+1]]`` = (item, offset in it).  ``alone``: items
+    whose copy counts only if it is the whole document."""
 
     pieces: list[np.ndarray]
     ids: np.ndarray
@@ -47,6 +48,7 @@ class Block:
     bounds: np.ndarray
     places: np.ndarray
     sieve: np.ndarray
+    alone: np.ndarray
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,20 +58,19 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in words_of(batch.column("text"), bare=True):
             for r in range(w.last - w.first):
                 own = w.hashes[w.bounds[r] : w.bounds[r + 1]]
-                for part, i in enumerate(range(0, len(own), PIECE_WORDS)):
-                    piece = own[i : i + PIECE_WORDS]
-                    key = int(gram_hashes(piece, len(piece)).view(np.int64)[0])
-                    out.append((ids[w.first + r], part, key, len(piece), piece.tobytes()))
+                if len(own):
+                    key = int(gram_hashes(own, len(own)).view(np.int64)[0])
+                    out.append((ids[w.first + r], key, len(own), own.tobytes()))
         yield pa.RecordBatch.from_pylist(
-            [dict(zip(("item_id", "piece", "key", "n_words", "words"), x, strict=True)) for x in out],
-            schema=pa.schema([("item_id", pa.int64()), ("piece", pa.int32()), ("key", pa.int64()), ("n_words", pa.int32()), ("words", pa.binary())]),
+            [dict(zip(("item_id", "key", "n_words", "words"), x, strict=True)) for x in out],
+            schema=pa.schema([("item_id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int32()), ("words", pa.binary())]),
         )
 
 
-def item_pieces(items: DataFrame) -> DataFrame:
-    """item_id, piece, key (of the word sequence), n_words, words of every item; items without words have no row."""
+def item_words(items: DataFrame) -> DataFrame:
+    """item_id, key (of the word sequence), n_words, words of every item; items without words have no row."""
     return items.select("item_id", "text").mapInArrow(
-        _item_rows, "item_id long, piece int, key long, n_words int, words binary"
+        _item_rows, "item_id long, key long, n_words int, words binary"
     )
 
 
@@ -95,7 +96,7 @@ def _word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
 
 
 def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) -> Block | None:
-    """Seeds of the pieces in ``rows`` (key, words), judged by all words of ``docs``."""
+    """Seeds of the items in ``rows`` (key, words), judged by all words of ``docs``."""
     if not rows:
         return None
     pieces = [np.frombuffer(r["words"], np.uint64) for r in rows]
@@ -104,6 +105,7 @@ def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) ->
     counts, total = _word_counts(docs, vocabulary)
     share = np.log10((counts + 1) / (total + 1))
     seeds, places = [], []
+    alone = np.zeros(len(pieces), bool)
     for k, piece in enumerate(pieces):
         size = min(n, len(piece))
         grams = gram_hashes(piece, size)
@@ -111,6 +113,7 @@ def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) ->
             grams = mix(grams + np.uint64(size))
         steps = np.concatenate([[0], np.cumsum(share[np.searchsorted(vocabulary, piece)])])
         weight = steps[size:] - steps[: len(grams)]
+        alone[k] = size < n and weight[0] > np.log10(rare)
         chosen = np.union1d(np.flatnonzero(weight <= np.log10(rare)), np.argsort(weight, kind="stable")[:ALWAYS])
         seeds.append(grams[chosen])
         places.append(np.stack([np.full(len(chosen), k), chosen], 1))
@@ -119,11 +122,11 @@ def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) ->
     unique, first = np.unique(flat[order], return_index=True)
     sieve = np.zeros(1 << 22, bool)
     sieve[(unique >> np.uint64(42)).astype(np.int64)] = True
-    return Block(pieces, ids, unique, np.append(first, len(flat)), where[order], sieve)
+    return Block(pieces, ids, unique, np.append(first, len(flat)), where[order], sieve, alone)
 
 
 def _hits(w, block: Block, n: int) -> np.ndarray:
-    """(row, piece, start of the piece on the row) of every seed found, sorted."""
+    """(row, item, start of the item on the row) of every seed found, sorted."""
     rows = rows_of(w.bounds)
     found = []
     sizes = {n} | {len(p) for p in block.pieces if len(p) < n}
@@ -147,7 +150,7 @@ def _hits(w, block: Block, n: int) -> np.ndarray:
 
 
 def aligned(w, block: Block, n: int = N, least: float = SCORE) -> Iterator[tuple[int, int, float, int, int]]:
-    """(row, piece, score, start, end) of each piece's best passage in each row, if it scores enough."""
+    """(row, item, score, start, end) of each item's best passage in each row, if it scores enough."""
     hits = _hits(w, block, n)
     if not len(hits):
         return
@@ -156,6 +159,8 @@ def aligned(w, block: Block, n: int = N, least: float = SCORE) -> Iterator[tuple
         row, k = int(group[0, 0]), int(group[0, 1])
         piece = block.pieces[k]
         own = w.hashes[w.bounds[row] : w.bounds[row + 1]]
+        if block.alone[k] and len(own) != len(piece):
+            continue
         size, slack = len(piece), 4 + len(piece) // 4
         best = (0.0, 0, 0)
         starts = group[:, 2]
@@ -166,6 +171,9 @@ def aligned(w, block: Block, n: int = N, least: float = SCORE) -> Iterator[tuple
                 break
             lo = max(0, int(run[0]) - slack)
             hi = min(len(own), int(run[-1]) + size + slack)
+            longer = max(size, hi - lo)  # at most 2 a common word
+            if longer - least_distance(piece, own[lo:hi]) < least * size - 1e-9:
+                continue
             score, start, end = local_alignment(piece, own[lo:hi], match=MATCH)
             if score / (MATCH * size) > best[0]:
                 best = (score / (MATCH * size), lo + start, lo + end)
@@ -203,7 +211,7 @@ def _clean_rows(block: Block):
 
 
 def _blocks(docs: DataFrame, items: DataFrame, block_words: int) -> Iterator[Block]:
-    pieces = item_pieces(items).select("key", "n_words", "words").dropDuplicates(["key"])
+    pieces = item_words(items).select("key", "n_words", "words").dropDuplicates(["key"])
     total = pieces.agg(F.sum("n_words")).first()[0] or 0
     parts = -(-total // block_words)
     for k in range(parts):
@@ -218,7 +226,8 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, block_words: int = BLO
 
     The score (0.6 to 1) is that of the item's best passage; the words from
     start_word to before end_word (words of punctuation alone not counted) are
-    that passage.  An item longer than 2,000 words is judged by its best piece.
+    that passage.  An item of fewer than four words is reported if its words are
+    as rare as a seed's, or if it is the whole document.
 
     Null text counts as empty and is never reported; null ids are reported as
     null.  Repeated rows are reported each; equal items each.  Empty tables:
@@ -232,7 +241,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, block_words: int = BLO
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, start_word long, end_word long")
-    names = item_pieces(items).select("item_id", "key").distinct()
+    names = item_words(items).select("item_id", "key").distinct()
     return found.join(names, "key").select("doc_id", "item_id", "score", "start_word", "end_word")
 
 

@@ -47,6 +47,30 @@ def test_planted_passages(spark, block_words):
     assert {r.doc_id for r in kept.collect()} == set(range(60)) - {i for i, _ in planted}
 
 
+def test_long_and_short_items_are_judged_whole(spark):
+    """One row an item, scored over its whole length, and no document dropped for a last word or a short item."""
+    long = prose(40, 2001)
+    words = long.split()
+    tests = [(1, long), (2, words[5]), (3, " ".join(words[7:9])), (4, prose(41, 2600))]
+    half = prose(41, 2600).split()
+    rows = [
+        (1, f"{prose(1, 30)} {words[-1]} {prose(2, 30)}", "s"),  # the item's last word alone
+        (2, f"{prose(3, 30)} {edited(long, 5, 0.05)} {prose(4, 30)}", "s"),
+        (3, words[5], "s"),
+        (4, " ".join(half[:2000]), "s"),  # 0.77 of the item
+        (5, " ".join(half[:1300]), "s"),  # half of it
+        (6, " ".join(half[1000:2600]), "s"),  # 0.62 of it, from a middle place on
+        *((10 + k, f"{words[5]} {words[7]} {words[8]} {prose(10 + k, 40)}", "s") for k in range(5)),
+    ]
+    docs = as_documents(spark, rows)
+    got = {(r.doc_id, r.item_id): r for r in dc.contaminated_pairs(docs, items(spark, tests)).collect()}
+    assert got.keys() == {(2, 1), (3, 2), (4, 4), (6, 4)}
+    assert 0.85 < got[2, 1].score < 1 and got[2, 1].start_word == 30 and got[2, 1].end_word == 2031
+    assert abs(got[4, 4].score - 2000 / 2600) < 0.01 and abs(got[6, 4].score - 1600 / 2600) < 0.01
+    kept = dc.drop_contaminated(docs, items(spark, tests))
+    assert {r.doc_id for r in kept.collect()} == {1, 5, 10, 11, 12, 13, 14}
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     tests = [(1, prose(2, 120)), (None, prose(3, 90)), (2, ""), (3, None), (1, prose(2, 120)), (4, prose(1, 6000))]
     got = dc.contaminated_pairs(odd, items(spark, tests)).collect()
