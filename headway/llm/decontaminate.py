@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Test items are cut into word n-grams (letter case and punctuation aside).  An
-n-gram is a seed if it is rare: the product of its words' shares of the corpus
-is at most ``rare``; each item also has its few rarest n-grams as seeds.  A
-document's n-grams are looked up among the seeds; every hit places an item on
-the document, and the passage around it is aligned with the whole item.  The
-score is the alignment's share of a perfect copy's.  An item of fewer words than
-a seed is evidence only if its words together are as rare as a seed's, or if it
-is the whole document.
+Every word pair of a test item is a seed (letter case and punctuation aside),
+of an item of at most five words every word.  A document's n-grams are looked
+up among the seeds; a document with as many of an item's seeds as any alignment
+of the least score has is aligned with the whole item.  The score is the
+alignment's share of a perfect copy's.  An item of fewer than four words is
+evidence only if its words together are rare, or if it is the whole document.
 
 Items are handled in blocks of a bounded number of words.  A block's seeds and
 words go to every task (a join with a side of known size); documents are never
@@ -25,11 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.alignment import least_distance, local_alignment
-from headway.llm.words import gram_hashes, mix, rows_of, words_of
+from headway.llm.words import gram_hashes, rows_of, words_of
 
-N = 4
+#: Items of at most this many words have single words as seeds.
+FEW = 5
+#: Items of fewer words count only if the product of their words' shares of the corpus is at most RARE, or alone.
+EVIDENCE = 4
 RARE = 1e-9
-ALWAYS = 3
 SCORE = 0.6
 MATCH = 2
 #: Words of items that one pass over the documents looks for.
@@ -74,6 +74,22 @@ def item_words(items: DataFrame) -> DataFrame:
     )
 
 
+def seed_size(n: int) -> int:
+    """Words in a seed of an item of ``n`` words."""
+    return 1 if n <= FEW else 2
+
+
+def seeds_needed(n: np.ndarray, least: float = SCORE) -> np.ndarray:
+    """Seeds that an alignment of score ``least`` keeps of items of ``n`` words.
+
+    Of m matches in a row cut by e edits, m - e - 1 word pairs stay; the score
+    (2 m - e) / 2 n allows e <= 2 m - 2 least n edits, and m is at most n.
+    """
+    words = np.ceil(least * n - 1e-9)
+    pairs = np.ceil((2 * least - 1) * n - 1 - 1e-9)
+    return np.maximum(1, np.where(n <= FEW, words, pairs)).astype(np.int64)
+
+
 def _word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """Occurrences in the documents of each word of ``vocabulary`` (sorted), and of all words."""
 
@@ -95,28 +111,25 @@ def _word_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
     return counts[:-1], int(counts[-1])
 
 
-def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) -> Block | None:
+def build_block(docs: DataFrame, rows: list, rare: float = RARE) -> Block | None:
     """Seeds of the items in ``rows`` (key, words), judged by all words of ``docs``."""
     if not rows:
         return None
     pieces = [np.frombuffer(r["words"], np.uint64) for r in rows]
     ids = np.array([r["key"] for r in rows], np.int64)
-    vocabulary = np.unique(np.concatenate(pieces))
-    counts, total = _word_counts(docs, vocabulary)
-    share = np.log10((counts + 1) / (total + 1))
-    seeds, places = [], []
     alone = np.zeros(len(pieces), bool)
+    short = [k for k, piece in enumerate(pieces) if len(piece) < EVIDENCE]
+    if short:
+        vocabulary = np.unique(np.concatenate([pieces[k] for k in short]))
+        counts, total = _word_counts(docs, vocabulary)
+        share = np.log10((counts + 1) / (total + 1))
+        for k in short:
+            alone[k] = share[np.searchsorted(vocabulary, pieces[k])].sum() > np.log10(rare)
+    seeds, places = [], []
     for k, piece in enumerate(pieces):
-        size = min(n, len(piece))
-        grams = gram_hashes(piece, size)
-        if size < n:  # a short item is one seed, under a hash that only whole n-grams of its size can have
-            grams = mix(grams + np.uint64(size))
-        steps = np.concatenate([[0], np.cumsum(share[np.searchsorted(vocabulary, piece)])])
-        weight = steps[size:] - steps[: len(grams)]
-        alone[k] = size < n and weight[0] > np.log10(rare)
-        chosen = np.union1d(np.flatnonzero(weight <= np.log10(rare)), np.argsort(weight, kind="stable")[:ALWAYS])
-        seeds.append(grams[chosen])
-        places.append(np.stack([np.full(len(chosen), k), chosen], 1))
+        grams = gram_hashes(piece, seed_size(len(piece)))
+        seeds.append(grams)
+        places.append(np.stack([np.full(len(grams), k), np.arange(len(grams))], 1))
     flat, where = np.concatenate(seeds), np.concatenate(places)
     order = np.argsort(flat, kind="stable")
     unique, first = np.unique(flat[order], return_index=True)
@@ -125,15 +138,13 @@ def build_block(docs: DataFrame, rows: list, n: int = N, rare: float = RARE) ->
     return Block(pieces, ids, unique, np.append(first, len(flat)), where[order], sieve, alone)
 
 
-def _hits(w, block: Block, n: int) -> np.ndarray:
-    """(row, item, start of the item on the row) of every seed found, sorted."""
+def _hits(w, block: Block) -> np.ndarray:
+    """(row, item, start of the item on the row) of the seeds found, sorted, where there are enough."""
     rows = rows_of(w.bounds)
     found = []
-    sizes = {n} | {len(p) for p in block.pieces if len(p) < n}
-    for size in sizes:
+    needed = seeds_needed(np.array([len(p) for p in block.pieces]))
+    for size in {seed_size(len(p)) for p in block.pieces}:
         grams = gram_hashes(w.hashes, size)
-        if size < n:
-            grams = mix(grams + np.uint64(size))
         at = np.flatnonzero(block.sieve[(grams >> np.uint64(42)).astype(np.int64)])
         at = at[rows[at] == rows[at + size - 1]]
         slot = np.minimum(np.searchsorted(block.seeds, grams[at]), len(block.seeds) - 1)
@@ -144,14 +155,26 @@ def _hits(w, block: Block, n: int) -> np.ndarray:
         place = block.places[index]
         where = np.repeat(at, many)
         row = rows[where]
-        found.append(np.stack([row, place[:, 0], where - w.bounds[row] - place[:, 1]], 1))
-    hits = np.unique(np.concatenate(found), axis=0)
-    return hits
+        # different seeds of an item on a row
+        pair = row * len(block.pieces) + place[:, 0]
+        order = np.lexsort((place[:, 1], pair))
+        pair, offset = pair[order], place[order, 1]
+        new = np.ones(len(pair), bool)
+        new[1:] = pair[1:] != pair[:-1]
+        heads = np.flatnonzero(new)
+        fresh = new.copy()
+        fresh[1:] |= offset[1:] != offset[:-1]
+        if not len(heads):
+            continue
+        enough = np.add.reduceat(fresh.astype(np.int64), heads) >= needed[pair[heads] % len(block.pieces)]
+        kept = order[np.repeat(enough, np.diff(np.append(heads, len(pair))))]
+        found.append(np.stack([row[kept], place[kept, 0], (where - w.bounds[row] - place[:, 1])[kept]], 1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
-def aligned(w, block: Block, n: int = N, least: float = SCORE) -> Iterator[tuple[int, int, float, int, int]]:
+def aligned(w, block: Block, least: float = SCORE) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, start, end) of each item's best passage in each row, if it scores enough."""
-    hits = _hits(w, block, n)
+    hits = _hits(w, block)
     if not len(hits):
         return
     cut = np.flatnonzero(np.any(hits[1:, :2] != hits[:-1, :2], axis=1)) + 1
@@ -161,7 +184,7 @@ def aligned(w, block: Block, n: int = N, least: float = SCORE) -> Iterator[tuple
         own = w.hashes[w.bounds[row] : w.bounds[row + 1]]
         if block.alone[k] and len(own) != len(piece):
             continue
-        size, slack = len(piece), 4 + len(piece) // 4
+        size, slack = len(piece), len(piece)  # gaps of 0.8 of the item still leave 0.6
         best = (0.0, 0, 0)
         starts = group[:, 2]
         for run in np.split(starts, np.flatnonzero(np.diff(starts) > slack) + 1):
@@ -227,7 +250,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, block_words: int = BLO
     The score (0.6 to 1) is that of the item's best passage; the words from
     start_word to before end_word (words of punctuation alone not counted) are
     that passage.  An item of fewer than four words is reported if its words are
-    as rare as a seed's, or if it is the whole document.
+    rare together (``RARE``), or if it is the whole document.
 
     Null text counts as empty and is never reported; null ids are reported as
     null.  Repeated rows are reported each; equal items each.  Empty tables:

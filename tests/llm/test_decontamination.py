@@ -2,9 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from headway.llm import decontaminate as dc
+from headway.llm.alignment import local_alignment
+from headway.llm.words import words_of
 from tests.llm.conftest import as_documents, prose
 from tests.llm.test_dedup import edited
 
@@ -71,6 +74,29 @@ def test_long_and_short_items_are_judged_whole(spark):
     assert {r.doc_id for r in kept.collect()} == {1, 5, 10, 11, 12, 13, 14}
 
 
+def test_scores_of_all_documents_equal_alignment_without_seeds(spark):
+    """Common items, an edit at every fourth word, words put in after each pair: all that score 0.6 are found."""
+    tests = [(k, prose(9100 + k, 4 + k)) for k in range(30)] + [(40, "a b c d e f g h")]
+    rows = []
+    for i, text in tests:
+        words = text.split()
+        fourth = [f"new{k}" if k % 4 == 3 else x for k, x in enumerate(words)]
+        pairs = [y for k, x in enumerate(words) for y in ([x, "more"] if k % 2 else [x])]
+        gap = words[: len(words) // 2] + ["gap"] * (len(words) // 2) + words[len(words) // 2 :]
+        for k, x in enumerate((fourth, pairs, gap, words)):
+            rows.append((10 * i + k, f"{prose(i, 6)} {' '.join(x)} {prose(i + 50, 6)}", "s"))
+    rows += [(1000 + k, f"a b c {'x' if k % 2 else 'd'} {'y' if k % 3 else 'e'} f g h", "s") for k in range(40)]  # each word frequent
+    want = set()
+    for i, text in tests:
+        (a,) = words_of(pa.array([text]), bare=True)
+        for d, own, _ in rows:
+            (b,) = words_of(pa.array([own]), bare=True)
+            if local_alignment(a.hashes, b.hashes)[0] / (2 * len(a.hashes)) >= dc.SCORE:
+                want.add((d, i))
+    got = dc.contaminated_pairs(as_documents(spark, rows), items(spark, tests)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) > 100
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     tests = [(1, prose(2, 120)), (None, prose(3, 90)), (2, ""), (3, None), (1, prose(2, 120)), (4, prose(1, 6000))]
     got = dc.contaminated_pairs(odd, items(spark, tests)).collect()
