@@ -8,7 +8,8 @@ combine, so a host's pages never meet in one task.  Classes that are frequent
 are the template; nested by path they form a tree whose inner elements are the
 slots.  From the page's root the tree is followed to the slot that holds most
 of the text that differs from page to page: the article.  What is fixed within
-it, or marked as a menu, form, advert and the like, is left out.
+it, or marked as a menu, form, advert and the like, is left out; a mark on an
+element that holds nearly all text, or on one around the slot, does not count.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ FREQUENT = 0.5
 RARE = 0.02
 #: A slot is entered if it holds this share of the text around it.
 HOLDS = 0.6
+#: An element with this share of the text is no menu, form or the like, whatever its name.
+WHOLE = 0.8
 #: Pages that must agree before a text counts as fixed.
 FIXED_PAGES = 4
 #: Levels of nesting that paths tell apart; deeper elements belong to their holder's path.
@@ -147,20 +150,38 @@ def blocks(page: str) -> Iterator[tuple[str, str | None, int]]:
         yield found
 
 
-def outside(path: str) -> bool:
-    """Whether a path is marked as something other than the article."""
+def outside(path: str, around: str = "") -> bool:
+    """Whether a path is marked as something other than the article; marks on ``around`` and what holds it do not count."""
     article = False
-    for name in path.split("/"):
+    inner = not around
+    upto = around.split("/")
+    for k, name in enumerate(path.split("/")):
         tag, *marks = name.split(".")
-        if tag in OUTSIDE or (tag == "header" and not article):
+        if not inner and (k >= len(upto) or name != upto[k]):
+            inner = True
+        if inner and (tag in OUTSIDE or (tag == "header" and not article)):
             return True
         if tag in ("article", "main"):
             article = True
-        elif tag not in ("html", "body") and any(w in MARKS for mark in marks for w in _WORDS.findall(mark)):
-            return True
+        elif inner and tag not in ("html", "body"):
+            words = {w for mark in marks for w in _WORDS.findall(mark)} & MARKS
+            if words - {"header"} or (words and tag != "header"):  # a header in an article may be called one
+                return True
     return False
 
 
+def holder_of(chars: dict[str, int]) -> str:
+    """The innermost element that holds at least ``WHOLE`` of the text; chars: characters of each path's own blocks."""
+    held: dict[str, int] = {}
+    for path, n in chars.items():
+        name = path
+        while name:
+            held[name] = held.get(name, 0) + n
+            name = name.rpartition("/")[0]
+    least = WHOLE * sum(chars.values())
+    return max((p for p, n in held.items() if n and n >= least), key=lambda p: (p.count("/"), held[p], p), default="")
+
+
 def _stat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per host and path, of the batch's pages: what the template is deduced from."""
     for batch in batches:
@@ -204,19 +225,20 @@ def deduce_template(stats: pd.DataFrame) -> tuple[str, list[str]]:
     classes: dict[tuple[int, int, int], list[str]] = {}
     for r in rows.values():
         classes.setdefault((r.vector, r.pages, r.occurrences), []).append(r.path)
+    fixed = {
+        r.path for r in rows.values() if r.pages >= max(FIXED_PAGES, FREQUENT * pages) and r.same_low == r.same_high and r.occurrences == r.pages
+    }
+    around = holder_of({r.path: r.chars for r in rows.values() if r.path and r.path not in fixed})
     template = {
         path
         for (_, seen, occurrences), paths in classes.items()
         if seen >= FREQUENT * pages and occurrences == seen  # once on each page that has it
         for path in paths
-        if path and not outside(path) and path.rpartition("/")[2].split(".")[0] not in PARAGRAPHS
-    }
-    fixed = {
-        r.path for r in rows.values() if r.pages >= max(FIXED_PAGES, FREQUENT * pages) and r.same_low == r.same_high and r.occurrences == r.pages
+        if path and not outside(path, around) and path.rpartition("/")[2].split(".")[0] not in PARAGRAPHS
     }
     varying: dict[str, int] = {}
     for r in rows.values():
-        if r.path and r.path not in fixed and not outside(r.path):
+        if r.path and r.path not in fixed and not outside(r.path, around):
             name = r.path
             while name:
                 varying[name] = varying.get(name, 0) + r.chars
@@ -231,9 +253,9 @@ def deduce_template(stats: pd.DataFrame) -> tuple[str, list[str]]:
     at = ""
     total = sum(n for p, n in varying.items() if "/" not in p)
     while True:
-        around = varying.get(at, total)
+        whole = varying.get(at, total)
         best = max(inner.get(at, []), key=lambda p: (varying.get(p, 0), p), default=None)
-        if best is None or varying.get(best, 0) < HOLDS * around or not varying.get(best):
+        if best is None or varying.get(best, 0) < HOLDS * whole or not varying.get(best):
             break
         at = best
     kept = [
@@ -249,10 +271,17 @@ def _deduce(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def main_text(page: str, slot: str, fixed: list[str]) -> str:
     """Blocks of the slot, joined by empty lines; pages without the slot give what is not marked otherwise."""
-    found = [(path, text) for path, text, _ in blocks(page) if text is not None and not outside(path)]
-    within = [(p, t) for p, t in found if p == slot or p.startswith(f"{slot}/")] if slot else found
-    if not within:  # another layout
-        within = [(p, t) for p, t in found if re.search(r"(?:^|/)(?:article|main)(?:[./]|$)", p)] or found
+    every = [(path, text) for path, text, _ in blocks(page) if text is not None]
+    within = [(p, t) for p, t in every if (p == slot or p.startswith(f"{slot}/")) and not outside(p, slot)] if slot else []
+    if not within:  # no slot, or another layout
+        chars: Counter[str] = Counter()
+        for p, t in every:
+            chars[p] += len(t)
+        found = [(p, t) for p, t in every if not outside(p)]
+        if sum(len(t) for _, t in found) < (1.0 - WHOLE) * sum(chars.values()):  # marks on what holds the page's text
+            around = holder_of(chars)
+            found = [(p, t) for p, t in every if not outside(p, around)]
+        within = ([(p, t) for p, t in found if re.search(r"(?:^|/)(?:article|main)(?:[./]|$)", p)] if slot else []) or found
     dropped = tuple(fixed)
     return "\n\n".join(t for p, t in within if not any(p == d or p.startswith(f"{d}/") for d in dropped))
 

@@ -47,6 +47,25 @@ def test_hosts(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_marks_on_what_holds_the_article_do_not_empty_it(spark):
+    """Whole pages in a form or a marked div, and headlines in a marked header; alone on a host and many."""
+    opened = ["<form id=aspnetForm action='/'>", "<div class='has-sidebar'>", "<div id=page class='no-comments'>", "<div class=plain>"]
+    rows, want = [], {}
+    for i in range(48):
+        parts = article(i + 1)
+        tag = opened[i % 4]
+        lone = i >= 40
+        want[i] = "\n\n".join(parts)
+        html = (
+            f"<html><body>{tag}<nav><a href=/>{prose(3, 2)}</a></nav><article><header class='entry-header'><h1>{entities.escape(parts[0])}</h1></header>"
+            + "".join(f"<p>{entities.escape(p)}</p>" for p in parts[1:])
+            + f"</article><div class='sidebar'><p>{prose(i + 900, 3)}</p></div></{tag[1:].split()[0]}></body></html>"
+        )
+        rows.append((i, f"http://{f'lone{i}' if lone else f'wrapped{i % 4}'}.example/{i}", html, "t", "h", "s"))
+    got = {r.page_id: r.text for r in te.extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want
+
+
 def test_salted_join_gives_the_same(spark, monkeypatch):
     rows = [(i, "http://a.example/", anonymous(i, article(i + 1)), "t", "h", "s") for i in range(12)]
     df = spark.createDataFrame(rows, SCHEMA)
