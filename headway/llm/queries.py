@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import ads_search, decontaminate, hmm, line_dedup, mixing, ngram_quality, order_minhash, sharding, suffix_dedup, template_extraction, warc
+from headway.llm import ads_search, collocations, conversation_repair, decontaminate, hmm, line_dedup, mixing, ngram_quality, order_minhash, sharding, suffix_dedup, template_extraction, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,14 @@ def op10_budget_prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.budget_prefix_mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op11_auction_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.conversation_repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_misra_gries_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash_dedup,
         op9_suffix_tree_dedup,
         op10_budget_prefix_mix,
+        op11_auction_conversation_repair,
+        op12_misra_gries_collocations,
         op13_line_dedup,
     )
 }
@@ -79,5 +89,7 @@ ORACLES: dict[str, str] = {
     "op3_warc_gzip_normalise": warc.ORACLE_WARC,
     "op9_suffix_tree_dedup": suffix_dedup.ORACLE_SUFFIX,
     "op10_budget_prefix_mix": mixing.ORACLE_MIX,
+    "op11_auction_conversation_repair": conversation_repair.ORACLE_REPAIR,
+    "op12_misra_gries_collocations": collocations.ORACLE_COLLOCATIONS,
     "op13_line_dedup": line_dedup.ORACLE_LINES,
 }

@@ -8,13 +8,13 @@ import pytest
 from headway.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS = {"1": "embeddings", "3": "pages", "6": "pages"}
+ROWS = {"1": "embeddings", "3": "pages", "6": "pages", "11": "conversations"}
 
 
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for name in ("documents", "pages", "embeddings", "benchmark", "labels"):
+    for name in ("documents", "pages", "embeddings", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con
 
@@ -30,6 +30,10 @@ def test_query_covers_its_table(spark, db, name):
         assert len(got) == asked * min(20, rows - 1)
     elif number == "4":
         assert 0 < len(got) < rows
+    elif number == "11":
+        assert len(got) == db.sql("SELECT count(DISTINCT conv_id) FROM conversations").fetchall()[0][0]
+    elif number == "12":
+        assert 0 < len(got) <= 2000 * db.sql("SELECT count(DISTINCT lang) FROM documents").fetchall()[0][0]
     else:
         assert len(got) == rows
     if name in ORACLES:
