@@ -25,6 +25,7 @@ from headway.session import scratch_path
 from headway.sources import archives, derived
 from headway.sources.readers import load_landing, read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
+from headway.streaming.ledger import PollLedger, stream_polls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -430,6 +431,43 @@ def q_stream_flatten(spark, sf_dir):
     return spark.read.schema(schemas.TRIP_UPDATES_LANDED).parquet(out)
 
 
+def first_delivery(polls: DataFrame) -> DataFrame:
+    """Polls as first fetched: in every third one, delays are a minute off, some rows
+    are missing and others belong to no trip."""
+    wrong = F.crc32(F.col("poll").cast("binary")) % 3 == 0
+    late = F.when(wrong, F.col("arrival_delay") + 60).otherwise(F.col("arrival_delay"))
+    kept = polls.withColumn("arrival_delay", late).where(~(wrong & (F.col("stop_sequence") % 4 == 1)))
+    ghosts = polls.where(wrong & (F.col("stop_sequence") % 4 == 2)).withColumn("trip_id", F.concat(F.lit("ghost-"), "trip_id"))
+    return kept.unionByName(ghosts)
+
+
+def second_delivery(polls: DataFrame) -> DataFrame:
+    """The wrong polls again, corrected."""
+    return polls.where(F.crc32(F.col("poll").cast("binary")) % 3 == 0)
+
+
+def third_delivery(polls: DataFrame) -> DataFrame:
+    """Some polls again as they were."""
+    return polls.where(F.crc32(F.col("poll").cast("binary")) % 5 == 0)
+
+
+def _send(polls: DataFrame, delivery: int, to: str) -> None:
+    messages = flatten.nest_trip_updates(polls.select(*_TU_FLAT))
+    messages.repartition(4).write.parquet(f"{to}/delivery={delivery}")
+
+
+def q_stream_poll_ledger(spark, sf_dir):
+    """R1 where polls are sent again, corrected or repeated: the feed as last sent."""
+    inbox, root = scratch_path(spark, "messages"), scratch_path(spark, "ledger")
+    polls = derived.trip_updates(spark, sf_dir)
+    for number, deliver in enumerate((first_delivery, second_delivery, third_delivery), 1):
+        _send(deliver(polls), number, inbox)
+    _await(
+        stream_polls(spark, inbox, "trip_updates", root, scratch_path(spark, "chk"), max_files_per_trigger=5, poll_seconds=derived.POLL_SECONDS)
+    )
+    return PollLedger(spark, root, "trip_updates").read()
+
+
 # The derived observations span years thinly (a few dozen per day), so the
 # incremental tables are partitioned by month here; daily is the default.
 _STREAM_GRANULARITY = "month"
@@ -530,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "archive_skipped_tables": q_archive_skipped_tables,
     "landing_to_marts": q_landing_to_marts,
     "stream_flatten": q_stream_flatten,
+    "stream_poll_ledger": q_stream_poll_ledger,
     "stream_latest_observation": q_stream_latest_observation,
     "incremental_fact": q_incremental_fact,
 }
