@@ -7,7 +7,7 @@ mergeable summary a partition, and a partition merges its summaries into at most
 ``mass / threshold + 1`` counters by Misra and Gries' rule, so that no phrase of
 the threshold's count can be missing among the survivors.  Second pass: the
 texts are read again, and phrases that survive (or share a bit of the survivors'
-bitmap, whose size is bounded) are counted exactly by Spark.
+bitmap, whose size is bounded) are counted exactly, again by hash partition.
 
 The number of partitions follows the counted mass, so a partition's summaries
 stay within a task's memory.  A phrase is known by the 64-bit hashes of its
@@ -258,11 +258,16 @@ def _survivors(threshold: int, bits: int):
     return run
 
 
+def partition_bits(mass: int) -> int:
+    """Bits that number the hash partitions: about MASS occurrences each."""
+    return min(20, max(0, -(-mass // MASS) - 1).bit_length())
+
+
 def surviving_phrases(docs: DataFrame, k: int, threshold: int, mass: int, words, shorter) -> DataFrame:
     """(key) upper bits of the hashes of all k-word phrases that may occur ``threshold`` times.
 
     ``mass``: at least the number of phrase occurrences."""
-    bits = min(20, max(0, -(-mass // MASS) - 1).bit_length())
+    bits = partition_bits(mass)
     sent = docs.mapInArrow(_summaries(k, bits, words, shorter), "part int, mass long, keys binary, counts binary")
     return sent.groupBy("part").applyInArrow(_survivors(threshold, bits), "key long")
 
@@ -270,18 +275,33 @@ def surviving_phrases(docs: DataFrame, k: int, threshold: int, mass: int, words,
 # ── second pass: exact counts ────────────────────────────────────────────────
 
 
-def _exact(k: int, words, shorter, survivors):
-    names_out = ["lang", *[f"w{i + 1}" for i in range(k)], "f"]
+def _summed(grams: np.ndarray) -> np.ndarray:
+    """Rows of (word hashes, count), equal phrases added up."""
+    grams = grams[np.lexsort(grams[:, :-1].T[::-1])]
+    head = np.flatnonzero(np.concatenate([[True], (grams[1:, :-1] != grams[:-1, :-1]).any(axis=1)]))
+    out = grams[head]
+    out[:, -1] = np.add.reduceat(grams[:, -1], head)
+    return out
+
+
+def _exact(k: int, bits: int, words, shorter, survivors):
+    """Counts of surviving phrases that a task has read: rows of (word hashes, count), packed by hash partition."""
 
     def flush(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for name, parts in held.items():
-            grams = np.concatenate(parts)
-            order = np.lexsort(grams[:, :-1].T[::-1])
-            grams = grams[order]
-            head = np.flatnonzero(np.concatenate([[True], (grams[1:, :-1] != grams[:-1, :-1]).any(axis=1)]))
-            f = np.add.reduceat(grams[:, -1].view(np.int64), head)
-            columns = [pa.array(np.ascontiguousarray(grams[head, i]).view(np.int64)) for i in range(k)]
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(head), pa.string()), *columns, pa.array(f)], names_out)
+            grams = _summed(np.concatenate(parts))
+            part = (gram_hashes(grams[:, :-1].reshape(-1), k)[::k] >> np.uint64(63 - bits)).astype(np.int64) >> 1
+            order = np.argsort(part, kind="stable")
+            grams, part = grams[order], part[order]
+            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part[cuts[:-1]].astype(np.int32)),
+                    pa.array([name] * (len(cuts) - 1), pa.string()),
+                    pa.array([grams[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                ],
+                ["part", "lang", "grams"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
@@ -306,11 +326,25 @@ def _exact(k: int, words, shorter, survivors):
     return run
 
 
-def _counted(docs: DataFrame, k: int, threshold: int, words, shorter, survivors) -> DataFrame:
+def _frequent(k: int, threshold: int):
+    def run(group: pa.Table) -> pa.Table:
+        out = []
+        langs = group.column("lang").to_pylist()
+        for name in sorted(set(langs)):
+            rows = [np.frombuffer(g.as_py(), np.uint64).reshape(-1, k + 1) for g, x in zip(group.column("grams"), langs, strict=True) if x == name]
+            grams = _summed(np.concatenate(rows))
+            grams = grams[grams[:, -1] >= threshold].view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(grams[:, i])) for i in range(k + 1)]
+            out.append(pa.table([pa.array([name] * len(grams), pa.string()), *columns], ["lang", *[f"w{i + 1}" for i in range(k)], "f"]))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _counted(docs: DataFrame, k: int, threshold: int, bits: int, words, shorter, survivors) -> DataFrame:
+    each = docs.mapInArrow(_exact(k, bits, words, shorter, survivors), "part int, lang string, grams binary")
     schema = "lang string, " + ", ".join(f"w{i + 1} long" for i in range(k)) + ", f long"
-    each = docs.mapInArrow(_exact(k, words, shorter, survivors), schema)
-    key = ["lang", *[f"w{i + 1}" for i in range(k)]]
-    return each.groupBy(*key).agg(F.sum("f").alias("f")).where(F.col("f") >= threshold)
+    return each.groupBy("part").applyInArrow(_frequent(k, threshold), schema)
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -361,7 +395,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     def frequent(k: int, most: int, shorter) -> DataFrame:
         survivors = materialise(surviving_phrases(texts, k, min_count, most, word_bits, shorter), f"survivors-{k}")
         bits = sc.broadcast(_bitmap(survivors, "key", survivors.count()))
-        return materialise(_counted(texts, k, min_count, word_bits, shorter, bits), f"phrases-{k}")
+        return materialise(_counted(texts, k, min_count, partition_bits(most), word_bits, shorter, bits), f"phrases-{k}")
 
     pairs = frequent(2, mass, None)
     pair_mass, pair_rows = pairs.agg(F.coalesce(F.sum("f"), F.lit(0)), F.count(F.lit(1))).first()
