@@ -19,6 +19,8 @@ are equal.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,8 +135,10 @@ def latest_observation(stg_trip_updates: DataFrame, versions: DataFrame) -> Data
     return attach_versions(newest, newest_version_per_day(versions))
 
 
-def _with_schedule(deduped: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
-    """Delays present -> schedule join -> wall-clock timestamps."""
+def _with_schedule(deduped: DataFrame, stg_stop_times: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Delays present -> schedule join -> wall-clock timestamps.
+
+    ``carry``: further columns of ``deduped`` that each row keeps."""
     d = deduped.where(F.col("arrival_delay").isNotNull() | F.col("departure_delay").isNotNull())
     st = stg_stop_times.select(
         F.col("version").alias("gtfs_version"),
@@ -163,6 +167,7 @@ def _with_schedule(deduped: DataFrame, stg_stop_times: DataFrame) -> DataFrame:
         F.col("departure_delay").alias("departure_delay_seconds"),
         (sched_arr + seconds_interval("arrival_delay")).alias("actual_arrival"),
         (sched_dep + seconds_interval("departure_delay")).alias("actual_departure"),
+        *carry,
     )
 
 
