@@ -25,7 +25,7 @@ from headway.session import scratch_path
 from headway.sources import archives, derived
 from headway.sources.readers import load_landing, read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
-from headway.streaming import state
+from headway.streaming import deltas, state
 from headway.streaming.ledger import PollLedger, stream_polls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -589,6 +589,72 @@ def q_stream_late_rows(spark, sf_dir):
     return state.read_late(spark, _stream_state(spark, sf_dir, rounds_apart=False))
 
 
+def _signed(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Winner changes between two tables of newest observations."""
+    names = [*marts.EVENT_KEY, *marts.OBS_ORDER]
+    both = before.select(*names, F.lit(-1).alias("s")).unionByName(after.select(*names, F.lit(1).alias("s")))
+    left = both.groupBy(*names).agg(F.sum("s").alias("s")).where("s <> 0")
+    return left.select(*names, F.when(F.col("s") > 0, "+").otherwise("-").alias("op"))
+
+
+def _delta_batches(spark, sf_dir) -> tuple[str, deltas.DelayCounts, DataFrame]:
+    """The fact and its counts kept up through three batches of deltas: the feed as
+    first delivered under the versions downloaded before 1998, then the whole
+    manifest, then the corrections.  (fact folder, counts, what each batch did)"""
+    wh = _wh(spark, sf_dir)
+    polls = derived.trip_updates(spark, sf_dir)
+    fact_dir, counts = scratch_path(spark, "fact"), deltas.DelayCounts(spark, scratch_path(spark, "counts"))
+    first = rt.reduce_latest(staging.stg_trip_updates(first_delivery(polls))).checkpoint(eager=True)
+    right = rt.reduce_latest(wh.stg_trip_updates).checkpoint(eager=True)
+    whole, times = wh.stg_gtfs_versions, wh.stg_stop_times
+    early = whole.where(F.col("downloaded_at") < "1998")
+    steps = [
+        lambda: deltas.winner_deltas(_signed(first.limit(0), first), early, times),
+        lambda: deltas.manifest_deltas(first, early, whole, times),
+        lambda: deltas.winner_deltas(_signed(first, right), whole, times),
+    ]
+    done = []
+    for batch, step in enumerate(steps, 1):
+        rows = step().checkpoint(eager=True)
+        months = deltas.apply_deltas(spark, fact_dir, rows, _STREAM_GRANULARITY)
+        counts.add(rows, batch)
+        did = deltas.delta_counts(rows)
+        done.append(did.select(F.lit(batch).cast("long").alias("batch"), *did.columns, F.lit(months).cast("long").alias("touched_months")))
+    return fact_dir, counts, quality.union_all(done)
+
+
+def q_delta_fact(spark, sf_dir):
+    """The fact after deltas of observations, versions and corrections."""
+    return rt.read_fact(spark, _delta_batches(spark, sf_dir)[0], _STREAM_GRANULARITY)
+
+
+def q_delta_batches(spark, sf_dir):
+    """What each batch of deltas inserted, updated and removed, and the partitions it touched."""
+    return _delta_batches(spark, sf_dir)[2]
+
+
+def q_maintained_by_route(spark, sf_dir):
+    return _delta_batches(spark, sf_dir)[1].punctuality_by_route(_wh(spark, sf_dir).dim_routes)
+
+
+def q_maintained_by_stop(spark, sf_dir):
+    return _delta_batches(spark, sf_dir)[1].punctuality_by_stop(_wh(spark, sf_dir).dim_stops)
+
+
+def q_maintained_by_hour(spark, sf_dir):
+    return _delta_batches(spark, sf_dir)[1].punctuality_by_hour()
+
+
+def q_maintained_distribution(spark, sf_dir):
+    counts = _delta_batches(spark, sf_dir)[1]
+    counts.compact()
+    return counts.delay_distribution()
+
+
+def q_maintained_total(spark, sf_dir):
+    return _delta_batches(spark, sf_dir)[1].total_stop_events()
+
+
 QUERIES: dict[str, Query] = {
     "stg_gtfs_versions": q_stg_gtfs_versions,
     "stg_stops": q_stg_stops,
@@ -644,4 +710,11 @@ QUERIES: dict[str, Query] = {
     "incremental_fact": q_incremental_fact,
     "stream_latest_state": q_stream_latest_state,
     "stream_late_rows": q_stream_late_rows,
+    "delta_fact": q_delta_fact,
+    "delta_batches": q_delta_batches,
+    "maintained_by_route": q_maintained_by_route,
+    "maintained_by_stop": q_maintained_by_stop,
+    "maintained_by_hour": q_maintained_by_hour,
+    "maintained_distribution": q_maintained_distribution,
+    "maintained_total": q_maintained_total,
 }
