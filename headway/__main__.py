@@ -32,7 +32,8 @@ from headway.operators import quality
 from headway.plans import sinks
 from headway.plans.ingest import ingest_archives
 from headway.plans.warehouse import MART_TABLES, Marts, Warehouse, write_marts
-from headway.sources.readers import load_landing, read_manifest, read_realtime
+from headway.sources.newest import newest_poll
+from headway.sources.readers import load_landing, read_manifest
 
 DASHBOARD = (
     "punctuality_by_route",
@@ -92,8 +93,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "check":
         now, found = _now(args.now), []
         for feed in ("trip_updates", "vehicle_positions"):
-            rt = read_realtime(spark, args.root, feed)
-            found += _print(quality.rt_freshness_status(rt, feed, [now], since=quality.newest_date(rt)))
+            found += _print(quality.rt_freshness_status(newest_poll(spark, args.root, feed), feed, [now]))
         found += _print(quality.static_freshness_status(read_manifest(spark, args.root), [now]))
         ready = _print(quality.readiness_of_root(spark, args.warehouse, MART_TABLES))
         if all(r.status == "ready" for r in ready):

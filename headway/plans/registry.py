@@ -23,6 +23,7 @@ from headway.plans.ingest import ingest_realtime, with_poll_partitions
 from headway.plans.warehouse import Marts, Warehouse, write_marts
 from headway.session import scratch_path
 from headway.sources import archives, derived
+from headway.sources.newest import newest_poll
 from headway.sources.readers import load_landing, read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
 from headway.streaming import deltas, state
@@ -249,6 +250,15 @@ def q_rt_freshness(spark, sf_dir):
     )
 
 
+def q_rt_freshness_walk(spark, sf_dir):
+    """Q1/Q3 over a landing zone: only the newest poll of each feed is looked for and read."""
+    root = scratch_path(spark, "zone")
+    d = derived.load_derived(spark, sf_dir)
+    for feed in ("trip_updates", "vehicle_positions"):
+        sinks.write_realtime(getattr(d, feed), root, feed, one_file_per_poll=True)
+    return quality.union_all([quality.rt_freshness_status(newest_poll(spark, root, f), f, RT_CHECK_TIMES) for f in ("trip_updates", "vehicle_positions")])
+
+
 def q_static_freshness(spark, sf_dir):
     return quality.static_freshness_status(derived.manifest(spark, sf_dir), STATIC_CHECK_TIMES)
 
@@ -684,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "stops_with_coordinates": q_stops_with_coordinates,
     "punctuality_by_route_display": q_punctuality_by_route_display,
     "rt_freshness": q_rt_freshness,
+    "rt_freshness_walk": q_rt_freshness_walk,
     "static_freshness": q_static_freshness,
     "check_unique": q_check_unique,
     "check_not_null": q_check_not_null,
