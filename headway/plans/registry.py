@@ -19,6 +19,7 @@ from headway.functions.dates import epoch_to_utc_wall
 from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval
 from headway.operators import analytics, flatten, intervals, marts, quality, staging, versions
 from headway.plans import sinks
+from headway.plans.archive_ingest import ingest_members
 from headway.plans.ingest import ingest_realtime, with_poll_partitions
 from headway.plans.warehouse import Marts, Warehouse, write_marts
 from headway.session import scratch_path
@@ -424,6 +425,71 @@ def q_archive_skipped_tables(spark, sf_dir):
     return lacking.select("table_name").distinct()
 
 
+#: Stop times of one archive of the ingest below, about.
+_INGEST_ROWS = 5_000
+
+
+def _write_archive(folder: str):
+    """Write one block's archive below ``folder`` (and a broken copy of every third); which
+    tables it has depends on the block."""
+
+    def run(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        block = int(pdf["block"].iloc[0])
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+            for table in ("stop_times", "calendar_dates"):
+                rows = pdf[pdf["kind"] == table]
+                columns = list(schemas.STATIC_COLUMNS[table])
+                if len(rows):
+                    z.writestr(f"{table}.txt", rows[columns].to_csv(index=False).encode("utf-8-sig"))
+            z.writestr("stops.txt", f"stop_id,stop_name\n{block},Stop\n" if block % 2 else "stop_id,stop_name\n")
+            if block % 3 == 0:
+                z.writestr("routes.txt", f"route_id,route_short_name\n{block},Route\n")
+        where, base = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+        half = "early" if block % 2 else "late"
+        whole = body.getvalue()
+        for name, content in ((f"{block}.zip", whole), *([(f"{block}-torn.zip", whole[: len(whole) // 2])] if block % 3 == 1 else [])):
+            for sub in {half, "late"}:
+                where.create_dir(f"{base}/{sub}", recursive=True)
+                with where.open_output_stream(f"{base}/{sub}/{name}") as out:
+                    out.write(content)
+        return pd.DataFrame({"block": [block]})
+
+    return run
+
+
+def q_archive_ingest(spark, sf_dir):
+    """S7-S9, I3-I5 end to end: odd blocks' archives are ingested, then a folder with all of
+    them; the report, and the stop times that each ingested archive has landed."""
+    times, cal = derived.stop_times(spark, sf_dir), derived.calendar_dates(spark, sf_dir)
+    blocks = F.lit(max(1, times.count() // _INGEST_ROWS)).cast("long")
+    folder, root = scratch_path(spark, "archives"), scratch_path(spark, "zone")
+    rows = times.select("*", F.lit("stop_times").alias("kind"), (F.col("trip_id").cast("long") % blocks).alias("block")).drop("version").unionByName(
+        cal.select("*", F.lit("calendar_dates").alias("kind"), (F.col("date").cast("long") % blocks).alias("block")).drop("version").distinct(),
+        allowMissingColumns=True,
+    )
+    rows.groupBy("block").applyInPandas(_write_archive(folder), "block long").count()
+    ingest_members(spark, f"{folder}/early", root, "2001-01-01T00:00:00")
+    report = ingest_members(spark, f"{folder}/late", root, "2001-01-02T00:00:00")
+    landed = read_static(spark, root, "stop_times").groupBy("version").agg(F.count(F.lit(1)).alias("stop_times"))
+    report = report.withColumn("prefix", versions.version_prefix("version"))
+    return report.join(landed.withColumnRenamed("version", "prefix"), "prefix", "left").select(
+        F.regexp_extract("path", r"([^/]+)\.zip$", 1).alias("archive"),
+        "status",
+        "valid_from",
+        "valid_to",
+        F.array_join("skipped_tables", ",").alias("skipped_tables"),
+        F.when(F.col("status") != "broken", F.coalesce("stop_times", F.lit(0))).alias("stop_times"),
+        F.col("error").isNotNull().alias("has_error"),
+    )
+
+
 def q_landing_to_marts(spark, sf_dir):
     """The product's path: land every raw table, build and store the marts from
     the landing zone, read them back, and ask the dashboard's first question."""
@@ -714,6 +780,7 @@ QUERIES: dict[str, Query] = {
     "content_hash": q_content_hash,
     "archive_unpack": q_archive_unpack,
     "archive_skipped_tables": q_archive_skipped_tables,
+    "archive_ingest": q_archive_ingest,
     "landing_to_marts": q_landing_to_marts,
     "stream_flatten": q_stream_flatten,
     "stream_poll_ledger": q_stream_poll_ledger,
