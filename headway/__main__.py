@@ -28,7 +28,7 @@ import sys
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from headway.operators import quality
+from headway.operators import constraints, quality
 from headway.plans import sinks
 from headway.plans.ingest import ingest_archives
 from headway.plans.warehouse import MART_TABLES, Marts, Warehouse, write_marts
@@ -97,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
         found += _print(quality.static_freshness_status(read_manifest(spark, args.root), [now]))
         ready = _print(quality.readiness_of_root(spark, args.warehouse, MART_TABLES))
         if all(r.status == "ready" for r in ready):
-            found += _print(quality.data_test_summary(Marts.read(spark, args.warehouse), args.bounds_severity))
+            found += _print(constraints.of_marts(Marts.read(spark, args.warehouse), constraints.declared(args.bounds_severity)))
         return int(any(r.status in ("stale", "missing", "empty", "fail") for r in [*found, *ready]))
     elif args.cmd == "ingest":
         _print(ingest_archives(spark, args.archives, args.root, now=_now(args.now) if args.now else None))

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from headway import schemas
 from headway.functions.dates import epoch_to_utc_wall
 from headway.functions.gtfs_time import gtfs_time_seconds, gtfs_time_to_interval
-from headway.operators import analytics, flatten, intervals, marts, quality, staging, versions
-from headway.plans import sinks
+from headway.operators import analytics, constraints, flatten, intervals, marts, quality, staging, versions
+from headway.plans import generations, sinks
 from headway.plans.archive_ingest import ingest_members
 from headway.plans.ingest import ingest_realtime, with_poll_partitions
 from headway.plans.warehouse import Marts, Warehouse, write_marts
@@ -280,6 +280,13 @@ def q_check_delay_bounds(spark, sf_dir):
     return quality.delay_bound_violations(_wh(spark, sf_dir).fct_stop_events)
 
 
+def q_constraint_checks(spark, sf_dir):
+    """Q5-Q8 over stored marts: all declared tests, one scan a mart (K4: the marts are committed together)."""
+    root = scratch_path(spark, "marts")
+    generations.commit_marts(_wh(spark, sf_dir), root)
+    return constraints.of_marts(generations.read_marts(spark, root))
+
+
 def q_mart_readiness(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return quality.mart_readiness(
@@ -766,6 +773,7 @@ QUERIES: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "check_relationships": q_check_relationships,
     "check_delay_bounds": q_check_delay_bounds,
+    "constraint_checks": q_constraint_checks,
     "mart_readiness": q_mart_readiness,
     "flatten_trip_updates": q_flatten_trip_updates,
     "flatten_vehicle_positions": q_flatten_vehicle_positions,
