@@ -40,6 +40,11 @@ class Files:
         fs, p = self._at(path)
         fs.delete(p, True)
 
+    def copy(self, source: str, target: str) -> None:
+        """Copy one small file."""
+        (source_fs, s), (target_fs, t) = self._at(source), self._at(target)
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, s, target_fs, t, False, True, self._conf)
+
     def rename(self, source: str, target: str) -> None:
         """Move ``source`` to ``target``, which must not exist."""
         fs, t = self._at(target)

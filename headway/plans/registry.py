@@ -24,6 +24,7 @@ from headway.plans.ingest import ingest_realtime, with_poll_partitions
 from headway.plans.warehouse import Marts, Warehouse, write_marts
 from headway.session import scratch_path
 from headway.sources import archives, derived
+from headway.sources.layouts import Zone, load_zone
 from headway.sources.newest import newest_poll
 from headway.sources.readers import load_landing, read_manifest, read_realtime, read_static
 from headway.streaming import realtime as rt
@@ -497,6 +498,60 @@ def q_archive_ingest(spark, sf_dir):
     )
 
 
+def _write_foreign(folder: str, name: str, types: dict[str, str]):
+    """Write each group as the one Parquet file that another layout has for it.
+
+    Partition columns go, unless ``types`` names them; it also gives columns' Arrow types."""
+
+    def run(pdf):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        where, base = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
+        path = f"{base}/{name.format(**pdf.iloc[0].to_dict())}"
+        table = pa.Table.from_pandas(pdf, preserve_index=False)
+        table = table.select([c for c in table.column_names if c in types or c not in ("version", "date", "hour", "poll", "day")])
+        for c, kind in types.items():
+            table = table.set_column(table.column_names.index(c), c, table[c].cast(kind))
+        where.create_dir(path.rpartition("/")[0], recursive=True)
+        with where.open_output_stream(path) as out:
+            pq.write_table(table, out)
+        return pd.DataFrame({"path": [path]})
+
+    return run
+
+
+def _foreign_zone(spark, sf_dir) -> str:
+    """The raw tables as a landing zone with one file a poll, table version and manifest."""
+    root = scratch_path(spark, "foreign")
+    raw = derived.load_derived(spark, sf_dir)
+    small = {"direction_id": "uint8", "stop_sequence": "uint32", "schedule_relationship": "uint8"}
+    polls = raw.trip_updates.withColumn("day", F.col("date").cast("string")).withColumn("hour", F.lpad(F.col("hour").cast("string"), 2, "0"))
+    # nullable whole numbers as such, not as pandas' floats
+    write = _write_foreign(root, "trip_updates/date={day}/hour={hour}/{poll}.parquet", {**small, "arrival_delay": "int32", "arrival_time": "int64", "departure_delay": "int32", "departure_time": "int64"})
+    polls.groupBy("day", "hour", "poll").applyInPandas(write, "path string").count()
+    for table in schemas.STATIC_TABLES:
+        keep = {"date": "string"} if table == "calendar_dates" else {}
+        write = _write_foreign(root, "gtfs_static/version={version}/" + table + ".parquet", keep)
+        getattr(raw, table).groupBy("version").applyInPandas(write, "path string").count()
+    write = _write_foreign(root, "gtfs_static/_versions.parquet", {"version": "string"})
+    manifest = raw.versions.withColumn("day", F.left("valid_to", F.lit(0)))  # one group: one row an archive
+    manifest.groupBy("day").applyInPandas(write, "path string").count()
+    return root
+
+
+def q_foreign_polls(spark, sf_dir):
+    """Polls of another layout, their keys from the names of their files."""
+    return Zone(spark, _foreign_zone(spark, sf_dir)).realtime("trip_updates")
+
+
+def q_foreign_zone(spark, sf_dir):
+    """A whole zone of another layout, up to the dashboard's first question."""
+    return Marts.of(Warehouse(load_zone(spark, _foreign_zone(spark, sf_dir)))).punctuality_by_route()
+
+
 def q_landing_to_marts(spark, sf_dir):
     """The product's path: land every raw table, build and store the marts from
     the landing zone, read them back, and ask the dashboard's first question."""
@@ -789,6 +844,8 @@ QUERIES: dict[str, Query] = {
     "archive_unpack": q_archive_unpack,
     "archive_skipped_tables": q_archive_skipped_tables,
     "archive_ingest": q_archive_ingest,
+    "foreign_polls": q_foreign_polls,
+    "foreign_zone": q_foreign_zone,
     "landing_to_marts": q_landing_to_marts,
     "stream_flatten": q_stream_flatten,
     "stream_poll_ledger": q_stream_poll_ledger,
