@@ -57,6 +57,17 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "
     )
 
 
+def one_width(vectors: DataFrame) -> DataFrame:
+    """One vector a vec_id, all of the width that most rows have (the smaller at a tie).
+
+    Of several vectors of one vec_id the greatest counts, compared number by number."""
+    widths = vectors.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"))
+    common = widths.orderBy(F.desc("n"), "width").first()
+    rows = vectors if common is None else vectors.where(F.size("v") == common.width)
+    norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    return rows.groupBy("vec_id").agg(F.max("v").alias("v")).withColumn("norm2", norm2)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -147,12 +158,10 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, lists: int | None = None) -> Index | None:
-    """Index fitted on at most ``SAMPLE`` vectors drawn by hash; ``vectors`` from ``usable``."""
-    stats = vectors.agg(F.count(F.lit(1)), F.max("norm2"), F.max(F.size("v")), F.min(F.size("v"))).first()
+    """Index fitted on at most ``SAMPLE`` vectors drawn by hash; ``vectors`` from ``one_width``."""
+    stats = vectors.agg(F.count(F.lit(1)), F.max("norm2"), F.max(F.size("v"))).first()
     if not stats[0]:
         return None
-    if stats[2] != stats[3]:
-        raise ValueError("vectors of several widths")
     drawn = vectors.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(SAMPLE).select("vec_id", "v").collect()  # bounded
     ids, sample = np.array([r[0] for r in drawn]), np.array([r[1] for r in drawn])
     count = lists or min(MAX_LISTS, max(1, round(stats[0] / LIST_ROWS)))
@@ -209,12 +218,14 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, lists: int | None =
     score: the inner product on the original numbers in double precision;
     nearest first, ties to the smaller vec_id; a query is not its own
     candidate.  ``vectors``: vec_id, embedding.  Vectors that are null, empty,
-    zero or hold null or non-finite numbers take no part; nor do null vec_ids.
-    Repeated rows are one vector.  Empty table: empty result.  Extra columns
-    are not looked at.
+    zero or hold null or non-finite numbers take no part; nor do null vec_ids,
+    nor vectors of another width than most rows have (the smaller at a tie).
+    Repeated rows are one vector; of different vectors with one vec_id the
+    greatest counts.  Empty table: empty result.  Extra columns are not looked
+    at.
     """
     spark = vectors.sparkSession
-    clean = materialise(usable(vectors).where("vec_id IS NOT NULL").dropDuplicates(["vec_id", "v"]), "ads-vectors")
+    clean = materialise(one_width(usable(vectors).where("vec_id IS NOT NULL")), "ads-vectors")
     schema = "query_id long, rank int, vec_id long, score double"
     index = build_index(clean, lists)
     if index is None:

@@ -81,3 +81,12 @@ def test_scan_keeps_what_is_near():
     kept = ads_search.scan(x, q, limit)
     assert (d[kept] <= limit * (1 + 1e-8)).all()  # the last test is exact
     assert len(kept) >= 19  # rejecting a near vector early is rare
+
+
+def test_stray_widths_and_one_id_with_two_vectors(spark):
+    good = [(i, [float(i % 7), 1.0, 0.25 * (i % 3)]) for i in range(60)]
+    stray = [(100, [9.0, 9.0]), (120, [1.0]), (140, [5.0, 5.0, 5.0, 5.0])]
+    lesser = [(20, [-50.0, 0.0, 1.0]), (33, [-1.0, 99.0, 99.0])]
+    got = found(ads_search.search(table(spark, lesser + stray + good)))
+    want = brute(good)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
