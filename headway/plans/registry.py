@@ -22,7 +22,7 @@ from headway.plans import generations, sinks
 from headway.plans.archive_ingest import ingest_members
 from headway.plans.ingest import ingest_realtime, with_poll_partitions
 from headway.plans.warehouse import Marts, Warehouse, write_marts
-from headway.session import scratch_path
+from headway.session import checkpoint_root, scratch_path
 from headway.sources import archives, derived
 from headway.sources.layouts import Zone, load_zone
 from headway.sources.newest import newest_poll
@@ -410,6 +410,7 @@ def _zip_block(pdf):
 
 def _archives(spark, sf_dir):
     """Stop times packed as zip archives of bounded size, by blocks of trips."""
+    checkpoint_root(spark)
     st = derived.stop_times(spark, sf_dir).withColumnRenamed("version", "listed_by")
     blocks = max(1, st.count() // _ARCHIVE_ROWS)
     packed = (
@@ -417,7 +418,8 @@ def _archives(spark, sf_dir):
         .groupBy("block")
         .applyInPandas(_zip_block, "content binary")
     )
-    return packed.select("content", versions.content_hash("content").alias("version"))
+    # stored: an archive that is packed again has other bytes (times, order of rows) and so another version
+    return packed.select("content", versions.content_hash("content").alias("version")).checkpoint(eager=True)
 
 
 def q_archive_unpack(spark, sf_dir):

@@ -48,7 +48,8 @@ OBSERVED = [
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", "headway-tests", shuffle_partitions=8)
+    # few rows: compiling each plan would take longer than running it
+    s = build_session("local[4]", "headway-tests", shuffle_partitions=4, extra={"spark.sql.codegen.wholeStage": "false"})
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="headway-test-ckpt-"))
     yield s
 
