@@ -9,11 +9,11 @@ the share of links at the least similarity that shall meet.  Texts of at most
 ``short`` words have exact keys besides: of the d + 1 segments of a text at
 most d are hit by d edits, and any text within reach has a key for each place
 where the one that is left can stand.  Within a bucket every text
-is paired with the bucket's least text first, then, where a bucket's texts are
-not of one class yet, with another centre, and at last with every text of
-another class: texts that share a bucket are compared unless links join them.
-The last two leave out pairs whose word counts alone (in 256 bags) show too many
-edits.  Pairs are verified by a banded alignment of whole texts.
+is paired with the bucket's least text first.  Texts of different classes that
+share a bucket are then joined by their rarest k-mers: edits within the
+similarity leave at least one of them in both texts, whatever order of rarity
+is used, so no such pair of a link is missed and no bucket's texts are all
+paired.  Pairs are verified by a banded alignment of whole texts.
 
 Equal texts are one node from the start.
 """
@@ -21,9 +21,8 @@ Equal texts are one node from the start.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.alignment import edit_similarity
 from headway.llm.components import components
-from headway.llm.store import materialise
+from headway.llm.store import free_names, materialise, release
 from headway.llm.words import Words, gram_hashes, mix, rows_of, words_of
 
 K = 2
@@ -42,13 +41,13 @@ SIMILARITY = 0.8
 RECALL = 0.999
 #: Texts of at most this many words meet by exact keys too.
 SHORT = 24
-#: Texts of a bucket that are paired at once with as many of the bucket's texts of other classes.
-CHUNK = 512
 #: Bags of words that a text's words are counted in, up to 255.
 BAGS = 256
-#: Pairs that share one copy of their centre's text.
+#: A centre's text goes out once for as many pairs.
 PAIRS_A_COPY = 64
-
+#: Counters (a power of two) of how often k-mers occur, by hash: as many as a sixty-fourth of
+#: the k-mers, within these.  They only order k-mers by rarity; any order gives the same links.
+COUNTERS = 1 << 12, 1 << 22
 
 
 def sketches_for(recall: float, similarity: float, order: int, k: int) -> int:
@@ -212,11 +211,56 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             bounds, keys = bucket_keys(w)
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("node"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary())],
-                ["doc_id", "node", "n_words", "keys", "bags"],
+                [part.column("doc_id"), part.column("text_key"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary())],
+                ["doc_id", "text_key", "n_words", "keys", "bags"],
             )
 
 
+def _counting(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """k-mers of the texts by the first ``bits`` of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for w in words_of(batch.column("text"), bare=True):
+                _, kmers = labelled_kmers(w)
+                counts += np.bincount((kmers >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        slots = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())], ["slot", "n"])
+
+    return run
+
+
+def rarest_kmers(w: Words, commonness: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of the labelled k-mers of each text of which one at least is left by edits within the similarity.
+
+    A text of m words loses at most k (1 - similarity) m of its k-mers on the
+    way to any text of a link, and the rarest of those that both have is among
+    as many, and one, of the rarest of each.
+    """
+    at, kmers = labelled_kmers(w)
+    bits = len(commonness).bit_length() - 1
+    order = np.lexsort((kmers, commonness[(kmers >> np.uint64(64 - bits)).astype(np.int64)], at))
+    at, kmers = at[order], kmers[order]
+    lost = np.floor(K * (1.0 - SIMILARITY) * np.diff(w.bounds) + 1e-9).astype(np.int64)
+    kept = np.arange(len(at)) - np.searchsorted(at, at) <= lost[at]
+    return at[kept], kmers[kept]
+
+
+def _picking(commonness: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in words_of(batch.column("text"), bare=True):
+                n = w.last - w.first
+                part = batch.slice(w.first, n)
+                at, kmers = rarest_kmers(w, commonness)
+                bounds = np.searchsorted(at, np.arange(n + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(kmers.view(np.int64), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(np.diff(w.bounds), pa.int32()), lists], ["node", "n_words", "rare"])
+
+    return run
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep, found = [], []
@@ -258,97 +302,56 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.select("u", F.col("node").alias("v"), _near("u_words", "n_words").alias("near")).distinct()
 
 
-def mixed_buckets(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, n_words, class, bags) of the buckets that hold texts of different classes; roots: node, root."""
-    own = nodes.join(roots, "node", "left").withColumn("class", F.xxhash64(F.coalesce("root", "node")))
-    rows = own.select("node", "class", F.explode(F.array_distinct("keys")).alias("key"))
-    keys = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
-    return rows.join(keys, "key").join(nodes.select("node", "n_words", "bags"), "node").select("key", "node", "n_words", "class", "bags")
+def rare_rows(texts: DataFrame) -> DataFrame:
+    """(node, n_words, rare) with the hashes of each text's rarest k-mers; texts: node, text."""
+    words = texts.agg(F.sum(F.length("text") / 6)).first()[0] or 0  # about
+    bits = min(max(int(words / 64), COUNTERS[0]), COUNTERS[1]).bit_length() - 1
+    counts = texts.select("text").mapInArrow(_counting(bits), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    levels = counts.select(F.col("slot").cast("int"), F.floor(F.log2("n") * 4).cast("int").alias("level")).toPandas()
+    commonness = np.zeros(1 << bits, np.uint8)
+    commonness[levels["slot"].to_numpy()] = levels["level"].to_numpy()
+    return texts.select("node", "text").mapInArrow(_picking(commonness), "node long, n_words int, rare array<long>")
 
 
-def _centre_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = [batch.column(x).to_numpy() for x in ("n_words", "words")]
-        kept = batch.filter(pa.array(_few_edits(*(_bag_array(batch.column(x)) for x in ("bags", "its_bags")), *words)))
-        yield kept.select(["node", "other"])
+def mixed_kmers(rare: DataFrame, roots: DataFrame) -> DataFrame:
+    """(kmer, node, n_words, class) of the rare k-mers that texts of different classes have; roots: node, root."""
+    own = rare.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    rows = own.select(F.explode("rare").alias("kmer"), "node", "n_words", "class")
+    mixed = rows.groupBy("kmer").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("kmer")
+    return rows.join(mixed, "kmer")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+def _pairs_with(mixed: DataFrame, others: DataFrame) -> DataFrame:
+    """(u, v) of texts of different classes with a k-mer in common and word counts that leave the similarity possible."""
+    its = others.select("kmer", F.col("node").alias("other"), F.col("n_words").alias("words"), F.col("class").alias("its"))
+    unlike = (F.col("class") != F.col("its")) & _near("n_words", "words")
+    return mixed.join(its, "kmer").where(unlike).select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
 
 
 def centre_pairs(mixed: DataFrame) -> DataFrame:
-    """(u, v) of a centre drawn by hash in each bucket and its texts of other classes."""
-    drawn = F.min_by("node", F.xxhash64("key", "node"))
-    centres = mixed.groupBy("key").agg(drawn.alias("other"))
-    its = [F.col(x).alias(y) for x, y in (("key", "key"), ("node", "other"), ("n_words", "words"), ("class", "its"), ("bags", "its_bags"))]
-    centres = centres.join(mixed.select(*its), ["key", "other"])
-    pairs = mixed.join(centres, "key").where((F.col("class") != F.col("its")) & _near("n_words", "words"))
-    return _ordered(pairs.select("node", "other", "n_words", "words", "bags", "its_bags").mapInArrow(_centre_batches, "node binary, other binary"))
-
-
-def _group_pairs(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers of the pairs of one chunk's texts with another's."""
-    every = group.column("every").to_numpy()
-    a, b = np.flatnonzero(~every), np.flatnonzero(every)
-    words, its = group.column("n_words").to_numpy(), group.column("class").to_numpy()
-    largest = group.column("of_largest").to_numpy()
-    high, low = np.frombuffer(b"".join(group.column("node").to_pylist()), ">u8").reshape(-1, 2).astype(np.uint64).T
-    first = (high[a][:, None] < high[b]) | ((high[a][:, None] == high[b]) & (low[a][:, None] < low[b]))
-    near = np.minimum(words[a][:, None], words[b]) >= np.maximum(words[a][:, None], words[b]) * SIMILARITY - 1e-9
-    i, j = np.nonzero((its[a][:, None] != its[b]) & (largest[b] | first) & near)
-    a, b = a[i], b[j]
-    bags = _bag_array(group.column("bags"))
-    few = np.empty(len(a), bool)
-    for k in range(0, len(a), 1 << 14):  # bags of some pairs at once
-        x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
-        few[k : k + (1 << 14)] = _few_edits(bags[x], bags[y], words[x], words[y])
-    return a[few], b[few]
-
-
-def _other_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each group of rows (sorted by group); one that a batch cuts is held until it is whole."""
-    held = None
-    for batch in chain(batches, [None]):
-        if batch is not None:
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new]).combine_chunks()
-        if held is None or not len(held):
-            continue
-        ids = np.stack([held.column(x).to_numpy() for x in ("key", "part", "chunk")], 1)
-        cuts = [0, *(np.flatnonzero(np.any(ids[1:] != ids[:-1], axis=1)) + 1).tolist(), *([len(held)] if batch is None else [])]
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            group = held.slice(i, j - i)
-            a, b = _group_pairs(group)
-            if len(a):
-                node = group.column("node").combine_chunks()
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], ["node", "other"])
-        held = held.slice(cuts[-1])
+    """(u, v) of one text drawn by hash for each k-mer and its texts of other classes."""
+    drawn = F.min_by(F.struct("node", "n_words", "class"), F.xxhash64("kmer", "node")).alias("c")
+    return _pairs_with(mixed, mixed.groupBy("kmer").agg(drawn).select("kmer", "c.*"))
 
 
 def other_pairs(mixed: DataFrame) -> DataFrame:
-    """(u, v) of all texts of different classes that share a bucket.
+    """(u, v) of all texts of different classes that share a rare k-mer."""
+    return _pairs_with(mixed, mixed)
 
-    Texts outside a bucket's largest class are paired with all others; both are
-    dealt to chunks, so a large bucket's pairs spread over tasks.
-    """
-    sizes = mixed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    buckets = sizes.groupBy("key").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"))
-    buckets = buckets.select(
-        "key",
-        F.col("top.class").alias("largest"),
-        F.ceil((F.col("n") - F.col("top.n")) / CHUNK).cast("int").alias("parts"),
-        F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"),
-    )
-    rows = mixed.join(buckets, "key").withColumn("of_largest", F.col("class") == F.col("largest"))
-    own = [F.pmod(F.xxhash64("node"), F.col(x)).cast("int") for x in ("parts", "chunks")]
-    each = [F.explode(F.sequence(F.lit(0), F.col(x) - 1)) for x in ("parts", "chunks")]
-    names = ["node", "n_words", "class", "of_largest", "bags"]
-    few = rows.where("not of_largest").select("key", own[0].alias("part"), each[1].alias("chunk"), F.lit(False).alias("every"), *names)
-    every = rows.select("key", each[0].alias("part"), own[1].alias("chunk"), F.lit(True).alias("every"), *names)
-    group = ["key", "part", "chunk"]
-    dealt = few.unionByName(every).repartition(*group).sortWithinPartitions(*group)
-    return _ordered(dealt.mapInArrow(_other_batches, "node binary, other binary"))
+
+def _possible_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [batch.column(f"n_words_{x}").to_numpy() for x in "uv"]
+        few = _few_edits(*(_bag_array(batch.column(f"bags_{x}")) for x in "uv"), *words)
+        yield batch.select(["u", "v"]).filter(pa.array(few))
+
+
+def possible_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (u, v) that share a bucket and whose bags of words leave the similarity possible; nodes: node, n_words, keys, bags."""
+    names = ["n_words", "keys", "bags"]
+    of = [nodes.select(F.col("node").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in names)) for x in "uv"]
+    met = pairs.join(of[0], "u").join(of[1], "v").where(F.arrays_overlap("keys_u", "keys_v"))
+    return met.select("u", "v", *(f"{n}_{x}" for n in ("n_words", "bags") for x in "uv")).mapInArrow(_possible_batches, "u long, v long")
 
 
 def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -376,14 +379,14 @@ def verified_pairs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         salted.join(b, "v")
         .join(a, ["u", "salt"])
         .select("u", "v", "text_a", "text_b")
-        .mapInArrow(_verify_batches, "u binary, v binary, similarity double")
+        .mapInArrow(_verify_batches, "u long, v long, similarity double")
     )
 
 
 def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, classes) of the documents' near-duplicate classes.
 
-    rows: doc_id, node (the text's identity), root, for every row of ``docs``.
+    rows: doc_id, text_key (the text's identity), root, for every row of ``docs``.
     classes: root, class_id (least doc_id), keep_node (the text of the least
     doc_id), class_rows, class_texts.
 
@@ -392,50 +395,46 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     linked to equal texts only; null counts as empty.  Null doc_id sorts after
     all others.  Repeated rows fall in one class.  Empty table: empty result.
     """
-    plain = docs.select("doc_id", text_node().alias("node"), "text")
-    sketched = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, node binary, n_words int, keys array<long>, bags binary"), "omh-sketch")
+    plain = docs.select("doc_id", text_node().alias("text_key"), "text")
+    sketched = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, text_key binary, n_words int, keys array<long>, bags binary"), "omh-sketch")
     last = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
-    nodes = materialise(
-        sketched.groupBy("node").agg(
-            F.min(last).alias("least"),
-            F.count(F.lit(1)).alias("n"),
-            F.first("n_words").alias("n_words"),
-            F.first("keys").alias("keys"),
-            F.first("bags").alias("bags"),
-        ),
-        "omh-nodes",
+    distinct = sketched.groupBy("text_key").agg(
+        F.min(last).alias("least"), F.count(F.lit(1)).alias("n"), *(F.first(x).alias(x) for x in ("n_words", "keys", "bags"))
     )
+    # a short number for each text; the written table fixes it
+    nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "omh-nodes")
     pairs = materialise(candidate_pairs(nodes), "omh-pairs")
     touched = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = nodes.select("node", F.col("least.doc_id").alias("least_id")).join(touched, "node")
+    wanted = nodes.select("node", F.col("text_key").alias("key"), F.col("least.doc_id").alias("least_id")).join(touched, "node")
     texts = materialise(
-        plain.withColumnRenamed("node", "own")
-        .join(wanted, (F.col("own") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
-        .select("node", "least_id", "text")
-        .dropDuplicates(["node", "least_id"]),
+        plain.join(wanted, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("least_id")))
+        .select("node", "text")
+        .dropDuplicates(["node"]),
         "omh-texts",
     )
-    tried = pairs.where("near").select("u", "v")
+    tried = materialise(possible_pairs(pairs.where("near").select("u", "v"), nodes), "omh-pairs")
     linked = materialise(verified_pairs(tried, texts), "omh-links")
     roots = materialise(components(linked.select("u", "v")), "omh-roots")
-    shared = nodes.join(touched, "node", "left_semi").select("node", "n_words", "keys", "bags")
+    rare = materialise(rare_rows(texts), "omh-rare")
     for others in (centre_pairs, other_pairs):
-        mixed = materialise(mixed_buckets(shared, roots), "omh-mixed")
-        more = materialise(others(mixed).join(tried, ["u", "v"], "left_anti"), "omh-pairs")
+        mixed = materialise(mixed_kmers(rare, roots), "omh-mixed")
+        more = materialise(possible_pairs(others(mixed).join(tried, ["u", "v"], "left_anti"), nodes), "omh-pairs")
+        release(mixed)
         linked = materialise(verified_pairs(more, texts), "omh-links")
         tried = tried.unionByName(more)
         if not linked.isEmpty():
             roots = materialise(merged_roots(roots, linked), "omh-roots")
     placed = materialise(
-        nodes.select("node", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "omh-roots"
+        nodes.select("node", "text_key", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "omh-roots"
     )
+    release(rare, texts, pairs, linked, nodes)
     classes = placed.groupBy("root").agg(
         F.min("least").getField("doc_id").alias("class_id"),
-        F.min(F.struct("least", "node")).getField("node").alias("keep_node"),
+        F.min(F.struct("least", "text_key")).getField("text_key").alias("keep_node"),
         F.sum("n").alias("class_rows"),
         F.count(F.lit(1)).alias("class_texts"),
     )
-    rows = sketched.select("doc_id", "node").join(placed.select("node", "root"), "node")
+    rows = sketched.select("doc_id", "text_key").join(placed.select("text_key", "root"), "text_key")
     return rows, classes
 
 
@@ -448,10 +447,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the one of least doc_id, any one of equal rows."""
     _, classes = near_duplicate_classes(docs)
-    keep = classes.select("keep_node", F.col("class_id").alias("keep_id"))
-    own = docs.withColumn("_node", text_node())
+    key, keep_key, keep_id = free_names(docs, "text_key", "keep_key", "keep_id")
+    keep = classes.select(F.col("keep_node").alias(keep_key), F.col("class_id").alias(keep_id))
+    own = docs.withColumn(key, text_node())
     return (
-        own.join(keep, (F.col("_node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .dropDuplicates(["keep_node", "keep_id"])
+        own.join(keep, (F.col(key) == F.col(keep_key)) & F.col("doc_id").eqNullSafe(F.col(keep_id)))
+        .dropDuplicates([keep_key, keep_id])
         .select(*docs.columns)
     )

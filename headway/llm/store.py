@@ -40,3 +40,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing will read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        below = f"{shared_root(spark)}/headway-llm/".rpartition(":")[2].lstrip("/")
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            if below in folder:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(hadoop).delete(path, True)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

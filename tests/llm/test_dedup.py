@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -129,7 +130,6 @@ def test_texts_alike_but_unlike_their_centre_are_linked(spark, monkeypatch):
             yield batch.set_column(at, "keys", pa.array([[7]] * batch.num_rows, pa.list_(pa.int64())))
 
     monkeypatch.setattr(order_minhash, "_sketch_batches", one_bucket)
-    monkeypatch.setattr(order_minhash, "CHUNK", 4)
     rows = []
     for g in range(8):
         base = prose(600 + g, 30 + 10 * g)
@@ -139,6 +139,29 @@ def test_texts_alike_but_unlike_their_centre_are_linked(spark, monkeypatch):
     assert max(Counter(map(len, classes_of(found)))) > 1
 
 
+def test_rarest_kmers_of_links_meet_in_any_order():
+    """Substitutions, insertions and deletions within the similarity leave a rare k-mer in common, whatever is held to be rare."""
+    for seed in range(1500):
+        rnd = random.Random(seed)
+        n = rnd.randrange(1, 90)
+        a = [f"w{rnd.randrange(1 + n // 2)}" for _ in range(n)]
+        b = list(a)
+        for k in range(rnd.randrange(n // 5 + 2)):
+            at = rnd.randrange(len(b) + 1)
+            b[at : at + rnd.choice([0, 1, 1])] = [f"w{rnd.randrange(n)}"][: rnd.choice([0, 1, 1])]
+        if not b or table(a, b) > 0.2 * max(len(a), len(b)) + 1e-9:
+            continue
+        (w,) = words_of(pa.array([" ".join(a), " ".join(b)]), bare=True, limit=1 << 30)
+        at, kmers = order_minhash.rarest_kmers(w, np.random.default_rng(seed).integers(0, 9, 64, dtype=np.uint8))
+        assert set(kmers[at == 0].tolist()) & set(kmers[at == 1].tolist()), (a, b)
+
+
+def test_dropping_copies_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c", 4, "x"), (2, "a b c", 5, "y"), (3, "d e f", 6, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, keep_key int, text_key string")
+    assert sorted(map(tuple, order_minhash.drop_near_duplicates(docs).collect())) == [rows[0], rows[2]]
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, none):
     short = [r for r in odd_rows if len(r[1] or "") < 5000]
     got = order_minhash.near_duplicates(odd)
