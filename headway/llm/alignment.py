@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Cells of a band that are laid out at once; a larger band is swept row by row.
-BAND_CELLS = 1 << 21
+BAND_CELLS = 1 << 22
 
 
 def least_distance(a: np.ndarray, b: np.ndarray) -> int:
@@ -80,7 +80,7 @@ def _by_rows(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
-    """Word edit distance if at most ``limit``, else None; the band widens from twice the lower bound."""
+    """Word edit distance if at most ``limit``, else None; the band widens from the lower bound."""
     if abs(len(a) - len(b)) > limit:
         return None
     a, b = _trim(a, b)
@@ -90,7 +90,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     least = least_distance(a, b)
     if least > limit:
         return None
-    band = max(8, 2 * least)
+    band = least + 8
     while True:
         band = min(band, limit)
         way = _by_diagonals if (2 * band + 1) * (len(a) + 1) <= BAND_CELLS else _by_rows

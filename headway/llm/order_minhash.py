@@ -45,9 +45,8 @@ SHORT = 24
 BAGS = 256
 #: A centre's text goes out once for as many pairs.
 PAIRS_A_COPY = 64
-#: Counters (a power of two) of how often k-mers occur, by hash: as many as a sixty-fourth of
-#: the k-mers, within these.  They only order k-mers by rarity; any order gives the same links.
-COUNTERS = 1 << 12, 1 << 22
+#: Bits of the counters of how often k-mers occur, by hash.  They only order k-mers by rarity; any order gives the same links.
+COUNTER_BITS = 16
 
 
 def sketches_for(recall: float, similarity: float, order: int, k: int) -> int:
@@ -202,33 +201,37 @@ def _bag_array(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BAGS)
 
 
+def _slots(kmers: np.ndarray) -> np.ndarray:
+    return (kmers >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sketches of each text and, in one more row a task, how often k-mers of each counter occur."""
+    names = ["doc_id", "text_key", "n_words", "keys", "bags", "counts"]
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
     for batch in batches:
         for w in words_of(batch.column("text"), bare=True):
             n = w.last - w.first
             count = np.diff(w.bounds)
             part = batch.slice(w.first, n)
             bounds, keys = bucket_keys(w)
+            counts += np.bincount(_slots(labelled_kmers(w)[1]), minlength=len(counts))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_key"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary())],
-                ["doc_id", "text_key", "n_words", "keys", "bags"],
+                [part.column("doc_id"), part.column("text_key"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary()), pa.nulls(n, pa.binary())],
+                names,
             )
+    types = [pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+    yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in types), pa.array([counts.tobytes()], pa.binary())], names)
 
 
-def _counting(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """k-mers of the texts by the first ``bits`` of their hashes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.int64)
-        for batch in batches:
-            for w in words_of(batch.column("text"), bare=True):
-                _, kmers = labelled_kmers(w)
-                counts += np.bincount((kmers >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        slots = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())], ["slot", "n"])
-
-    return run
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
+    for batch in batches:
+        for task in batch.column("counts"):
+            counts += np.frombuffer(task.as_buffer(), np.int64)
+    slots = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(counts[slots], pa.int64())], ["slot", "n"])
 
 
 def rarest_kmers(w: Words, commonness: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,8 +242,7 @@ def rarest_kmers(w: Words, commonness: np.ndarray) -> tuple[np.ndarray, np.ndarr
     as many, and one, of the rarest of each.
     """
     at, kmers = labelled_kmers(w)
-    bits = len(commonness).bit_length() - 1
-    order = np.lexsort((kmers, commonness[(kmers >> np.uint64(64 - bits)).astype(np.int64)], at))
+    order = np.lexsort((kmers, commonness[_slots(kmers)], at))
     at, kmers = at[order], kmers[order]
     lost = np.floor(K * (1.0 - SIMILARITY) * np.diff(w.bounds) + 1e-9).astype(np.int64)
     kept = np.arange(len(at)) - np.searchsorted(at, at) <= lost[at]
@@ -264,14 +266,16 @@ def _picking(commonness: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Ite
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep, found = [], []
-        n = batch.num_rows
-        for i in range(n):  # one pair at a time: only two texts' words are held
-            (a,) = words_of(batch.column("text_a").slice(i, 1), bare=True)
-            (b,) = words_of(batch.column("text_b").slice(i, 1), bare=True)
-            alike = edit_similarity(a.hashes, b.hashes, SIMILARITY)
-            if alike is not None:
-                keep.append(i)
-                found.append(alike)
+        us, before, a = batch.column("u").to_pylist(), None, None
+        for w in words_of(batch.column("text_b"), bare=True):
+            for i in range(w.first, w.last):
+                if us[i] != before:  # rows of one centre follow each other
+                    (words,) = words_of(batch.column("text_a").slice(i, 1), bare=True)
+                    before, a = us[i], words.hashes
+                alike = edit_similarity(a, w.hashes[w.bounds[i - w.first] : w.bounds[i - w.first + 1]], SIMILARITY)
+                if alike is not None:
+                    keep.append(i)
+                    found.append(alike)
         kept = batch.take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays([kept.column("u"), kept.column("v"), pa.array(found, pa.float64())], ["u", "v", "similarity"])
 
@@ -302,14 +306,12 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
     return pairs.select("u", F.col("node").alias("v"), _near("u_words", "n_words").alias("near")).distinct()
 
 
-def rare_rows(texts: DataFrame) -> DataFrame:
-    """(node, n_words, rare) with the hashes of each text's rarest k-mers; texts: node, text."""
-    words = texts.agg(F.sum(F.length("text") / 6)).first()[0] or 0  # about
-    bits = min(max(int(words / 64), COUNTERS[0]), COUNTERS[1]).bit_length() - 1
-    counts = texts.select("text").mapInArrow(_counting(bits), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    levels = counts.select(F.col("slot").cast("int"), F.floor(F.log2("n") * 4).cast("int").alias("level")).toPandas()
-    commonness = np.zeros(1 << bits, np.uint8)
-    commonness[levels["slot"].to_numpy()] = levels["level"].to_numpy()
+def rare_rows(texts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(node, n_words, rare) with the hashes of each text's rarest k-mers; texts: node, text; counts: counts of tasks."""
+    sums = counts.mapInArrow(_count_batches, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    commonness = np.zeros(1 << COUNTER_BITS, np.uint8)
+    for slot, level in sums.select("slot", F.floor(F.log2("n") * 4).cast("int")).collect():  # a row a counter
+        commonness[slot] = level
     return texts.select("node", "text").mapInArrow(_picking(commonness), "node long, n_words int, rare array<long>")
 
 
@@ -396,7 +398,8 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     all others.  Repeated rows fall in one class.  Empty table: empty result.
     """
     plain = docs.select("doc_id", text_node().alias("text_key"), "text")
-    sketched = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, text_key binary, n_words int, keys array<long>, bags binary"), "omh-sketch")
+    written = materialise(plain.mapInArrow(_sketch_batches, "doc_id long, text_key binary, n_words int, keys array<long>, bags binary, counts binary"), "omh-sketch")
+    sketched = written.where("counts is null")
     last = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
     distinct = sketched.groupBy("text_key").agg(
         F.min(last).alias("least"), F.count(F.lit(1)).alias("n"), *(F.first(x).alias(x) for x in ("n_words", "keys", "bags"))
@@ -415,7 +418,7 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = materialise(possible_pairs(pairs.where("near").select("u", "v"), nodes), "omh-pairs")
     linked = materialise(verified_pairs(tried, texts), "omh-links")
     roots = materialise(components(linked.select("u", "v")), "omh-roots")
-    rare = materialise(rare_rows(texts), "omh-rare")
+    rare = materialise(rare_rows(texts, written.where("counts is not null").select("counts")), "omh-rare")
     for others in (centre_pairs, other_pairs):
         mixed = materialise(mixed_kmers(rare, roots), "omh-mixed")
         more = materialise(possible_pairs(others(mixed).join(tried, ["u", "v"], "left_anti"), nodes), "omh-pairs")

@@ -152,7 +152,7 @@ def test_rarest_kmers_of_links_meet_in_any_order():
         if not b or table(a, b) > 0.2 * max(len(a), len(b)) + 1e-9:
             continue
         (w,) = words_of(pa.array([" ".join(a), " ".join(b)]), bare=True, limit=1 << 30)
-        at, kmers = order_minhash.rarest_kmers(w, np.random.default_rng(seed).integers(0, 9, 64, dtype=np.uint8))
+        at, kmers = order_minhash.rarest_kmers(w, np.random.default_rng(seed).integers(0, 9, 1 << order_minhash.COUNTER_BITS, dtype=np.uint8))
         assert set(kmers[at == 0].tolist()) & set(kmers[at == 1].tolist()), (a, b)
 
 
