@@ -291,19 +291,21 @@ def _near(a: str, b: str) -> F.Column:
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(u, v, near) with u the least node of a bucket that holds v too; nodes: node, n_words, keys.
+    """(u, v, near, more) with u the least node of a bucket that holds v too; nodes: node, n_words, keys.
 
-    Not ``near``: lengths alone rule out the similarity.
+    Not ``near``: lengths alone rule out the similarity.  ``more``: one such
+    bucket holds other texts than the two, so v has pairs that u is not in.
     """
     rows = nodes.select("node", "n_words", F.explode("keys").alias("key"))
     centres = (
         rows.groupBy("key")
         .agg(F.min(F.struct("node", "n_words")).alias("c"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("key", F.col("c.node").alias("u"), F.col("c.n_words").alias("u_words"))
+        .select("key", F.col("c.node").alias("u"), F.col("c.n_words").alias("u_words"), (F.col("n") > 2).alias("more"))
     )
     pairs = rows.join(centres, "key").where(F.col("u") != F.col("node"))
-    return pairs.select("u", F.col("node").alias("v"), _near("u_words", "n_words").alias("near")).distinct()
+    found = pairs.select("u", F.col("node").alias("v"), _near("u_words", "n_words").alias("near"), "more")
+    return found.groupBy("u", "v").agg(F.max("near").alias("near"), F.max("more").alias("more"))
 
 
 def rare_rows(texts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -418,7 +420,8 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = materialise(possible_pairs(pairs.where("near").select("u", "v"), nodes), "omh-pairs")
     linked = materialise(verified_pairs(tried, texts), "omh-links")
     roots = materialise(components(linked.select("u", "v")), "omh-roots")
-    rare = materialise(rare_rows(texts, written.where("counts is not null").select("counts")), "omh-rare")
+    open_nodes = pairs.where("more").select(F.col("v").alias("node")).distinct()
+    rare = materialise(rare_rows(texts.join(open_nodes, "node", "left_semi"), written.where("counts is not null").select("counts")), "omh-rare")
     for others in (centre_pairs, other_pairs):
         mixed = materialise(mixed_kmers(rare, roots), "omh-mixed")
         more = materialise(possible_pairs(others(mixed).join(tried, ["u", "v"], "left_anti"), nodes), "omh-pairs")
