@@ -63,10 +63,12 @@ def _least_cost(code: str) -> int:
     return min(REROLE + more, DELETE) if _CLASS[code] == "x" else more
 
 
-def _lattice(codes: str, exits: tuple[int, ...]) -> tuple[list[list[tuple[str, int, int]]], list[int]]:
+def _lattice(codes: str, exits: tuple[int, ...], more_follow: bool = False) -> tuple[list[list[tuple[str, int, int]]], list[int]]:
     """Arcs (edit, cost, node) of each node in the edits' ASCII order, and prices to start from.
 
-    Node 4 * i + state; the last node is the sink, which ``exits`` lead to."""
+    Node 4 * i + state; the last node is the sink, which ``exits`` lead to.  Where
+    more rows follow, nothing is inserted after the last one: the next block
+    does that, and tells whether a delete comes before it."""
     n, sink = len(codes), 4 * (len(codes) + 1)
     wanted = {s for t, cost in enumerate(exits) if cost < NEVER for s in _REACH[t]}
     arcs: list[list[tuple[str, int, int]]] = [[] for _ in range(sink + 1)]
@@ -76,7 +78,7 @@ def _lattice(codes: str, exits: tuple[int, ...]) -> tuple[list[list[tuple[str, i
             to = _NEXT[s]
             if i < n:
                 out.append(("D", DELETE, 4 * (i + 1) + s))
-            if to in wanted:
+            if to in wanted and not (i == n and more_follow):
                 out.append(("I", INSERT, 4 * i + to))
             if i < n and codes[i] not in _DOOMED:
                 more = TRUNCATED if codes[i] in _TRUNCATED else 0
@@ -136,7 +138,7 @@ def block_costs(codes: str) -> tuple[int, ...]:
 @lru_cache(1 << 14)
 def block_scripts(codes: str, exits: tuple[int, ...], entries: tuple[int, ...]) -> tuple[tuple[str, int] | None, ...]:
     """For each entry state the ASCII-least of its cheapest scripts, and the state it ends in."""
-    arcs, price = _lattice(codes, exits)
+    arcs, price = _lattice(codes, exits, more_follow=exits != _AT_END)
     sink = len(arcs) - 1
     costs = {e: auction(arcs, price, e) for e in entries}
     # Tight arcs, and the nodes from which they lead to the sink.

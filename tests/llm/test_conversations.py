@@ -127,6 +127,18 @@ def test_a_conversation_of_many_blocks(spark):
     assert repaired(spark, rows) == brute(rows)
 
 
+def test_least_script_where_a_block_ends():
+    """A delete goes before an insert also where a block ends between them."""
+    every = "suaxU1"
+    for codes in ("".join(x) for n in range(2, 5) for x in itertools.product(every, repeat=n)):
+        want = best([cr._CLASS[c] for c in codes], [c in cr._DOOMED for c in codes], [c in cr._TRUNCATED for c in codes])[1]
+        for cut in range(1, len(codes)):
+            costs = cr.block_costs(codes[cut:])
+            exits = tuple(min(cr.NEVER, *(costs[4 * s + t] + cr._AT_END[t] for t in range(4))) for s in range(4))
+            first, end = cr.block_scripts(codes[:cut], exits, (0,))[0]
+            assert first + cr.block_scripts(codes[cut:], cr._AT_END, (0, 1, 2, 3))[end][0] == want, (codes, cut)
+
+
 def test_all_rows_dropped_and_empty_table(spark):
     gone = next((c, 0) for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
     empty = hashlib.sha256(b"").hexdigest()
