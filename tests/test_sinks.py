@@ -156,3 +156,20 @@ def test_since_prunes_realtime_partitions(spark, golden_root):
     with redirect_stdout(buf):
         raw.trip_updates.explain()
     assert "PartitionFilters: [isnotnull(date" in buf.getvalue()
+
+
+def test_polls_are_replaced_whole_and_others_stay(spark, tmp_root):
+    """Folders that are new move whole; where both have a folder, only polls with new rows change."""
+    from headway.plans.files import Files, replace_partitions
+
+    def rows(*polls):
+        return spark.createDataFrame([(v, f"2031-03-{d:02d}", h, p) for v, d, h, p in polls], "v int, date string, hour int, poll string")
+
+    replace_partitions(rows((1, 5, 8, "a"), (2, 5, 8, "b"), (3, 5, 9, "c"), (4, 6, 0, "d"), (40, 6, 0, "d")), tmp_root, ("date", "hour", "poll"))
+    replace_partitions(rows((5, 5, 8, "b"), (6, 5, 10, "e"), (7, 7, 0, "f"), (8, 6, 0, "d")), tmp_root, ("date", "hour", "poll"))
+    replace_partitions(rows(), tmp_root, ("date", "hour", "poll"))
+    got = spark.read.parquet(tmp_root).select("v", "hour", "poll")
+    assert sorted(map(tuple, got.collect())) == [(1, 8, "a"), (3, 9, "c"), (5, 8, "b"), (6, 10, "e"), (7, 0, "f"), (8, 0, "d")]
+    assert Files(spark).names(tmp_root) == ["date=2031-03-05", "date=2031-03-06", "date=2031-03-07"]
+    assert os.listdir(f"{tmp_root}/date=2031-03-06/hour=0") == ["poll=d"]
+    assert not [n for n in os.listdir(tmp_root) if n.startswith("_writing")]
