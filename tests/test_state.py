@@ -96,3 +96,46 @@ def test_closed_dates_leave_the_state_and_late_rows_are_told(spark, tmp_path):
 def test_nothing_yet(spark, tmp_path):
     assert st.read_winners(spark, str(tmp_path / "none")).count() == 0
     assert st.read_late(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_state_of_a_trip_is_read_and_stored_once():
+    """However many stops a trip names; winners are told for each stop."""
+    from pyspark.sql import Row
+
+    class Held:
+        value, calls = None, []
+
+        def exists(self):
+            self.calls.append("exists")
+            return self.value is not None
+
+        def get(self):
+            self.calls.append("get")
+            return self.value
+
+        def update(self, value):
+            self.calls.append("update")
+            self.value = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Held()
+
+        def registerTimer(self, at):
+            pass
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    def change(stop, feed_time, poll, op="+", by=None):
+        own = dict.fromkeys(st.marts.OBS_ORDER) | {"feed_timestamp": feed_time}
+        return Row(**own, stop_sequence=stop, poll=poll, delivery=1, run_at=1, op=op, by=by, by_run=by)
+
+    processor, key = st.LatestObservation(2), (dt.date(2031, 5, 1), "t1")
+    processor.init(Handle())
+    first = list(processor.handleInputRows(key, iter([change(2, 100, "a"), change(1, 90, "a"), change(None, 95, "a"), change(2, 110, "b")]), Times()))
+    assert {(r.stop_sequence, r.op, r.feed_timestamp) for r in first} == {(2, "+", 110), (1, "+", 90), (None, "+", 95)}
+    second = list(processor.handleInputRows(key, iter([change(2, 110, "b", "-", 2)]), Times()))
+    assert [(r.stop_sequence, r.op, r.feed_timestamp) for r in second] == [(2, "-", 110), (2, "+", 100)]
+    assert Held.calls == ["get", "update"] * 2
