@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+from headway import schemas
+from headway.operators import flatten
+from headway.plans import registry
 from headway.sources import derived
 
 
@@ -30,3 +33,17 @@ def test_listed_keys_once_in_tasks_that_grow_with_the_lines(spark, tmp_path, mon
     assert trips.count() == trips.distinct().count() == sum(covers[k] for k in {k for k, _ in keys})
     for table in (times, trips):  # 142 lines
         assert table.rdd.getNumPartitions() == 15
+
+
+def test_message_files_grow_with_the_updates(spark, tmp_path, monkeypatch):
+    sf = _tables(spark, str(tmp_path), orders=20, lines=6)
+    monkeypatch.setattr(registry, "_FILE_UPDATES", 10, raising=False)
+    files = registry._message_files(spark, sf, 4)
+    assert files == 14  # 142 lines
+    updates = derived.trip_updates(spark, sf)
+    registry._send(updates, 1, str(tmp_path / "inbox"), files)
+    sent = spark.read.schema(schemas.FEED_MESSAGE).parquet(str(tmp_path / "inbox"))
+    assert len(sent.inputFiles()) == files
+    assert flatten.flatten_trip_updates(sent).count() == updates.count() == 140
+    monkeypatch.setattr(registry, "_FILE_UPDATES", 1000)
+    assert registry._message_files(spark, sf, 4) == 4
