@@ -74,3 +74,21 @@ def test_empty_zone_and_names_without_a_stamp(spark, golden, tmp_path):
         f.rename(f.with_name("part-0.parquet"))
     polls = {r.poll for r in Zone(spark, str(root)).realtime("trip_updates").collect()}
     assert polls == {"20310305T091100", "20310312T091500"}
+
+
+def test_a_file_is_written_in_row_groups(spark, tmp_path, monkeypatch):
+    """No task holds a whole group: a file of many rows gets as many row groups."""
+    from pyspark.sql import functions as F
+
+    from headway.plans import registry
+
+    monkeypatch.setattr(registry, "_FOREIGN_ROWS", 10_000)
+    rows = spark.range(45_000).select("id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("delay"), F.lit("0a").alias("version"))
+    one = spark.range(1).select("id", F.lit(None).cast("long").alias("delay"), F.lit(None).cast("string").alias("version"))
+    write = registry._write_foreign(str(tmp_path), "version={version}/trips.parquet", {"delay": "uint32"})
+    paths = [r.path for r in rows.unionByName(one).groupBy("version").applyInArrow(write, "path string").collect()]
+    assert sorted(paths) == [f"{tmp_path}/version={v}/trips.parquet" for v in ("0a", "None")]
+    file = pq.ParquetFile(tmp_path / "version=0a" / "trips.parquet")
+    assert file.metadata.num_row_groups >= 4 and file.schema_arrow.names == ["id", "delay"] and file.schema_arrow.field("delay").type == pa.uint32()
+    got = file.read()
+    assert sorted(got["id"].to_pylist()) == list(range(45_000)) and got["delay"].null_count == 15_000
