@@ -91,3 +91,25 @@ def test_ingest_statuses_and_tables(spark, folder, tmp_root):
     (folder / "e.zip").write_bytes(archive(**{"trips.txt": None}))
     assert {k: r.status for k, r in run().items()} == {"a.zip": "skipped", "b.zip": "skipped", "c.zip": "skipped", "d.zip": "broken", "e.zip": "ingested"}
     assert read_manifest(spark, tmp_root).count() == 3
+
+
+def test_small_members_share_tasks_and_large_ones_do_not():
+    from headway.sources.archive_members import LEAST_TASKS, TASK_BYTES, Archive, _dealt
+
+    few = [Archive(f"{k}.zip", 1, "") for k in range(20)]
+    assert [t.parts for t in _dealt(few)] == [[p] for p in few]
+    many = [Archive(f"{k}.zip", 1, "", stored=TASK_BYTES if k == 7_000 else 20_000) for k in range(20_000)]
+    tasks = _dealt(many)
+    assert [p for t in tasks for p in t.parts] == many and LEAST_TASKS <= len(tasks) < 500
+    assert [many[7_000]] in [t.parts for t in tasks]
+    assert [t.parts for t in _dealt([])] == [[]]
+
+
+def test_members_of_one_task_are_read_one_by_one(spark, folder, monkeypatch):
+    from headway.sources import archive_members as am
+
+    parts = [m for a in am._listed(str(folder)) for m in am._members(a)]
+    alone = [b for p in parts for b in am._MembersReader(str(folder)).read(am.Parts([p]))]
+    together = list(am._MembersReader(str(folder)).read(am.Parts(parts)))
+    assert am.pa.Table.from_batches(alone).equals(am.pa.Table.from_batches(together))
+    assert sum(b.num_rows for b in am._IndexReader(str(folder)).read(am.Parts(am._listed(str(folder))))) == 5
