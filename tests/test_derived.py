@@ -47,3 +47,20 @@ def test_message_files_grow_with_the_updates(spark, tmp_path, monkeypatch):
     assert flatten.flatten_trip_updates(sent).count() == updates.count() == 140
     monkeypatch.setattr(registry, "_FILE_UPDATES", 1000)
     assert registry._message_files(spark, sf, 4) == 4
+
+
+def test_stored_tables_are_derived_once(spark, tmp_path):
+    """A stored table has the same rows and no longer reads the driver's tables."""
+    import datetime as dt
+
+    from headway.sources import derived
+
+    spark.createDataFrame([(1, 7, "O", 1.0, dt.datetime(1995, 2, 3), "x")], derived.DRIVER_SCHEMAS["orders"]).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 5, 2, n, 3.0, 1.0, 0.0, 0.0, "A", "F", dt.datetime(1995, 3, 1)) for n in (1, 2)]
+    spark.createDataFrame(lines, derived.DRIVER_SCHEMAS["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    names = ("stop_times", "trip_updates")
+    plain, stored = derived.load_derived(spark, str(tmp_path)), derived.load_derived(spark, str(tmp_path)).store(*names)
+    for name in names:
+        before, after = getattr(plain, name), getattr(stored, name)
+        assert after.count() > 0 and after.dtypes == before.dtypes and sorted(map(str, after.collect())) == sorted(map(str, before.collect()))
+        assert not any(f.endswith(("orders.parquet", "lineitem.parquet")) or "/lineitem.parquet/" in f or "/orders.parquet/" in f for f in after.inputFiles())

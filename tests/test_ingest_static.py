@@ -124,3 +124,26 @@ def test_versions_of_one_prefix_are_refused(spark):
     other = spark.createDataFrame([("a" * 12 + "1" * 52,)], "version string")
     with pytest.raises(ValueError, match="share the prefix aaaaaaaaaaaa"):
         ingest.refuse_prefix_collisions(rows, other)
+
+
+def test_columns_are_known_without_unpacking_whole_archives(spark, monkeypatch):
+    """``first_rows`` names the columns that all rows have; ``table_rows`` then looks nowhere else."""
+    import io
+    import zipfile
+
+    from headway.sources import archives as arc
+
+    def packed(version, text):
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w") as z:
+            z.writestr("stops.txt", text)
+        return version, body.getvalue()
+
+    texts = ["stop_id,zone\n" + "".join(f"{k},A\n" for k in range(50)), "stop_id,area\nq,B\n", "stop_id,never\n"]
+    archives = spark.createDataFrame([packed(f"{k}" * 20, t) for k, t in enumerate(texts)], "version string, content binary")
+    first, rows = arc.first_rows(archives), arc.unpack_archives(archives)
+    assert first.where("table_name = 'stops'").count() == 2 and rows.where("table_name = 'stops'").count() == 51
+    plain, named = arc.table_rows(rows, "stops"), arc.table_rows(rows, "stops", named_by=first)
+    assert named.columns == plain.columns and {"zone", "area"} < set(named.columns) and "never" not in named.columns
+    assert sorted(map(str, named.collect())) == sorted(map(str, plain.collect()))
+    assert arc.table_rows(rows, "stops", named_by=first.limit(0)).columns == [c for c in plain.columns if c not in ("zone", "area")]
