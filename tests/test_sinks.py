@@ -173,3 +173,21 @@ def test_polls_are_replaced_whole_and_others_stay(spark, tmp_root):
     assert Files(spark).names(tmp_root) == ["date=2031-03-05", "date=2031-03-06", "date=2031-03-07"]
     assert os.listdir(f"{tmp_root}/date=2031-03-06/hour=0") == ["poll=d"]
     assert not [n for n in os.listdir(tmp_root) if n.startswith("_writing")]
+
+
+def test_days_whose_polls_are_all_written_again_are_not_walked(spark, tmp_root, monkeypatch):
+    """A rerun moves a day as one folder; only a day that keeps an older poll is walked."""
+    from headway.plans.files import Files, replace_partitions
+
+    def rows(polls, v):
+        return spark.createDataFrame([(v, f"2031-03-{d:02d}", h, p) for d, h, p in polls], "v int, date string, hour int, poll string")
+
+    polls = [(d, h, f"{d}-{h}") for d in (5, 6, 7, 8) for h in range(3)]
+    replace_partitions(rows(polls, 1), tmp_root, ("date", "hour", "poll"))
+    listed, names = [], Files.names
+    monkeypatch.setattr(Files, "names", lambda self, path: listed.append(path) or names(self, path))
+    replace_partitions(rows(polls[1:] + [(7, 0, "new"), (9, 0, "later")], 2), tmp_root, ("date", "hour", "poll"))
+    got = sorted((r.poll, r.v) for r in spark.read.parquet(tmp_root).collect())
+    assert got == sorted([(p, 2) for _, _, p in polls[1:]] + [("5-0", 1), ("new", 2), ("later", 2)])
+    walked = {p.rpartition("date=")[2].partition("/")[0] for p in listed if "date=" in p}
+    assert walked == {"2031-03-05"}
