@@ -10,10 +10,11 @@ the share of links at the least similarity that shall meet.  Texts of at most
 most d are hit by d edits, and any text within reach has a key for each place
 where the one that is left can stand.  Within a bucket every text
 is paired with the bucket's least text first.  Texts of different classes that
-share a bucket are then joined by their rarest k-mers: edits within the
-similarity leave at least one of them in both texts, whatever order of rarity
-is used, so no such pair of a link is missed and no bucket's texts are all
-paired.  Pairs are verified by a banded alignment of whole texts.
+share a bucket are then all compared where the bucket has few of them, and
+joined by their rarest k-mers where it has many: edits within the similarity leave at
+least one of these in both texts, whatever order of rarity is used, so no such
+pair of a link is missed and no large bucket's texts are all paired.  Pairs are
+verified by a banded alignment of whole texts.
 
 Equal texts are one node from the start.
 """
@@ -26,7 +27,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.alignment import edit_similarity
@@ -45,6 +46,8 @@ SHORT = 24
 BAGS = 256
 #: A centre's text goes out once for as many pairs.
 PAIRS_A_COPY = 64
+#: Texts of a bucket that are all compared by their bags; those of a larger one are, if they have a rare k-mer in common.
+PAIRED = 2048
 #: Bits of the counters of how often k-mers occur, by hash.  They only order k-mers by rarity; any order gives the same links.
 COUNTER_BITS = 16
 
@@ -96,31 +99,29 @@ def labelled_kmers(w: Words, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(grams + mix(again.astype(np.uint64)))
 
 
-def sketch(w: Words, sketches: int = SKETCHES, k: int = K) -> np.ndarray:
-    """Bucket keys (rows x sketches); rows without words have zeros."""
+def sketch(w: Words, sketches: int = SKETCHES, k: int = K, found: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Bucket keys (rows x sketches); rows without words have zeros.  ``found``: the labelled k-mers, if they are known."""
     n = len(w.bounds) - 1
     keys = np.zeros((n, sketches), np.uint64)
-    at, kmers = labelled_kmers(w, k)
+    at, kmers = labelled_kmers(w, k) if found is None else found
     if not len(kmers):
         return keys
-    full, starts, counts = np.unique(at, return_index=True, return_counts=True)
-    group = np.repeat(np.arange(len(full)), counts)
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    full, counts = at[starts], np.diff(np.append(starts, len(at)))
+    lone = counts == 1
+    # a hash's low bits give way to the place in the text: the least hash says where it is
+    low = np.uint64((1 << int(counts.max()).bit_length()) - 1)
+    place = (np.arange(len(at)) - np.repeat(starts, counts)).astype(np.uint64)
     for i in range(sketches):
         v = (kmers ^ _SALT[i]) * _ODD[i]
         v ^= v >> np.uint64(32)
-        least = np.minimum.reduceat(v, starts)
-        place = np.flatnonzero(v == least[group])
-        _, one = np.unique(group[place], return_index=True)
-        one = place[one]
+        v &= ~low
+        v |= place
+        one = starts + (np.minimum.reduceat(v, starts) & low).astype(np.int64)
         v[one] = _TOP
-        next_least = np.minimum.reduceat(v, starts)
-        place = np.flatnonzero(v == next_least[group])
-        _, two = np.unique(group[place], return_index=True)
-        two = place[two]
-        lone = counts == 1
+        two = np.where(lone, one, starts + (np.minimum.reduceat(v, starts) & low).astype(np.int64) * ~lone)
         first, second = np.minimum(one, two), np.maximum(one, two)
-        key = mix(mix(kmers[first] + _SALT[i]) ^ np.where(lone, np.uint64(0), kmers[second]))
-        keys[full, i] = key
+        keys[full, i] = mix(mix(kmers[first] + _SALT[i]) ^ np.where(lone, np.uint64(0), kmers[second]))
     return keys
 
 
@@ -154,7 +155,7 @@ def short_places(m: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return out
 
 
-def bucket_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
+def bucket_keys(w: Words, found: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(bounds, keys) of each row's buckets: its sketches, and the exact keys of a short text; none without words."""
     counts = np.diff(w.bounds)
     few = [m for m in range(1, SHORT + 1) if np.any(counts == m)]
@@ -165,7 +166,7 @@ def bucket_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.concatenate([[0], np.cumsum(size)])
     keys = np.zeros(bounds[-1], np.uint64)
     has = np.flatnonzero(counts > 0)
-    keys[bounds[has][:, None] + np.arange(SKETCHES)] = sketch(w)[has]
+    keys[bounds[has][:, None] + np.arange(SKETCHES)] = sketch(w, found=found)[has]
     grams: dict[int, np.ndarray] = {}
     for m in few:
         rows = np.flatnonzero(counts == m)
@@ -214,8 +215,9 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             n = w.last - w.first
             count = np.diff(w.bounds)
             part = batch.slice(w.first, n)
-            bounds, keys = bucket_keys(w)
-            counts += np.bincount(_slots(labelled_kmers(w)[1]), minlength=len(counts))
+            found = labelled_kmers(w)
+            bounds, keys = bucket_keys(w, found)
+            counts += np.bincount(_slots(found[1]), minlength=len(counts))
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_key"), pa.array(count, pa.int32()), lists, pa.array(list(map(bytes, bags_of(w))), pa.binary()), pa.nulls(n, pa.binary())],
@@ -258,7 +260,7 @@ def _picking(commonness: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 at, kmers = rarest_kmers(w, commonness)
                 bounds = np.searchsorted(at, np.arange(n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(kmers.view(np.int64), pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(np.diff(w.bounds), pa.int32()), lists], ["node", "n_words", "rare"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "rare"])
 
     return run
 
@@ -309,38 +311,93 @@ def candidate_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def rare_rows(texts: DataFrame, counts: DataFrame) -> DataFrame:
-    """(node, n_words, rare) with the hashes of each text's rarest k-mers; texts: node, text; counts: counts of tasks."""
+    """(node, rare) with the hashes of each text's rarest k-mers; texts: node, text; counts: counts of tasks."""
     sums = counts.mapInArrow(_count_batches, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     commonness = np.zeros(1 << COUNTER_BITS, np.uint8)
     for slot, level in sums.select("slot", F.floor(F.log2("n") * 4).cast("int")).collect():  # a row a counter
         commonness[slot] = level
-    return texts.select("node", "text").mapInArrow(_picking(commonness), "node long, n_words int, rare array<long>")
+    return texts.select("node", "text").mapInArrow(_picking(commonness), "node long, rare array<long>")
 
 
-def mixed_kmers(rare: DataFrame, roots: DataFrame) -> DataFrame:
-    """(kmer, node, n_words, class) of the rare k-mers that texts of different classes have; roots: node, root."""
-    own = rare.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
-    rows = own.select(F.explode("rare").alias("kmer"), "node", "n_words", "class")
-    mixed = rows.groupBy("kmer").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("kmer")
-    return rows.join(mixed, "kmer")
+def _classed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the class of their node: its root, or itself."""
+    return rows.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+
+
+def mixed_buckets(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, n_words, n) of the buckets with ``n`` texts of different classes; nodes: node, n_words, keys."""
+    rows = _classed(nodes.select("node", "n_words", "keys"), roots).select("node", "n_words", "class", F.explode("keys").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    return rows.drop("class").join(sizes.where("low <> high").select("key", "n"), "key")
+
+
+def _pairing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The possible pairs of each bucket; rows of one bucket follow each other."""
+
+    def pairs(rows: pa.RecordBatch, cuts: list[int]) -> Iterator[pa.RecordBatch]:
+        node, words, kind = (rows.column(c).to_numpy() for c in ("node", "n_words", "class"))
+        bags = _bag_array(rows.column("bags"))
+        us, vs = [], []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            least, most = words[lo:hi], words[lo:hi, None]
+            unlike = (kind[lo:hi] != kind[lo:hi, None]) & (np.minimum(least, most) >= np.maximum(least, most) * SIMILARITY - 1e-9)
+            u, v = np.nonzero(np.triu(unlike, 1))
+            for i in range(0, len(u), 1 << 14):
+                x, y = u[i : i + (1 << 14)] + lo, v[i : i + (1 << 14)] + lo
+                few = _few_edits(bags[x], bags[y], words[x], words[y])
+                us.append(np.minimum(node[x[few]], node[y[few]]))
+                vs.append(np.maximum(node[x[few]], node[y[few]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (us, vs)], ["u", "v"])
+
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        key = batch.column("key").to_numpy()
+        starts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist()]
+        yield from pairs(batch, starts)
+        held = batch.slice(starts[-1])  # the last bucket may go on
+    if held is not None:
+        yield from pairs(held, [0, held.num_rows])
+
+
+def bucket_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(u, v) of texts of different classes of a bucket of at most ``PAIRED`` texts, if their bags leave the similarity possible.
+
+    No pair is a row before that: a bucket's texts are compared where they lie."""
+    few = _classed(buckets.where(F.col("n") <= PAIRED).drop("n"), roots)
+    rows = few.join(nodes.select("node", "bags"), "node").select("key", "node", "n_words", "class", "bags")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_pairing, "u long, v long").distinct()
+
+
+def mixed_groups(buckets: DataFrame, rare: DataFrame, roots: DataFrame) -> DataFrame:
+    """(group, node, n_words, class, minor) of the texts of a bucket of more than ``PAIRED`` that have a certain
+    rare k-mer, of different classes in each group; ``minor``: not of its largest class; rare: node, rare."""
+    many = buckets.where(F.col("n") > PAIRED).join(rare.select("node", F.explode("rare").alias("kmer")), "node")
+    rows = _classed(many.select(F.xxhash64("key", "kmer").alias("group"), "node", "n_words"), roots)
+    own = Window.partitionBy("group")
+    sized = rows.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("group", "class")))
+    ends = sized.withColumns({"low": F.min("class").over(own), "high": F.max("class").over(own), "main": F.max(F.struct("size", "class")).over(own)})
+    return ends.where("low <> high").select("group", "node", "n_words", "class", (F.col("class") != F.col("main.class")).alias("minor"))
 
 
 def _pairs_with(mixed: DataFrame, others: DataFrame) -> DataFrame:
-    """(u, v) of texts of different classes with a k-mer in common and word counts that leave the similarity possible."""
-    its = others.select("kmer", F.col("node").alias("other"), F.col("n_words").alias("words"), F.col("class").alias("its"))
+    """(u, v) of texts of different classes of a group and word counts that leave the similarity possible."""
+    its = others.select("group", F.col("node").alias("other"), F.col("n_words").alias("words"), F.col("class").alias("its"), F.col("minor").alias("so"))
     unlike = (F.col("class") != F.col("its")) & _near("n_words", "words")
-    return mixed.join(its, "kmer").where(unlike).select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
+    once = ~(F.col("minor") & F.col("so")) | (F.col("node") < F.col("other"))
+    return mixed.join(its, "group").where(unlike & once).select(F.least("node", "other").alias("u"), F.greatest("node", "other").alias("v")).distinct()
 
 
 def centre_pairs(mixed: DataFrame) -> DataFrame:
-    """(u, v) of one text drawn by hash for each k-mer and its texts of other classes."""
-    drawn = F.min_by(F.struct("node", "n_words", "class"), F.xxhash64("kmer", "node")).alias("c")
-    return _pairs_with(mixed, mixed.groupBy("kmer").agg(drawn).select("kmer", "c.*"))
+    """(u, v) of one text drawn by hash for each group and its texts of other classes."""
+    drawn = F.min_by(F.struct("node", "n_words", "class"), F.xxhash64("group", "node")).alias("c")
+    return _pairs_with(mixed, mixed.groupBy("group").agg(drawn).select("group", "c.*", F.lit(False).alias("minor")))
 
 
 def other_pairs(mixed: DataFrame) -> DataFrame:
-    """(u, v) of all texts of different classes that share a rare k-mer."""
-    return _pairs_with(mixed, mixed)
+    """(u, v) of all texts of different classes of a group: one of them at least is not of its largest class."""
+    return _pairs_with(mixed.where("minor"), mixed)
 
 
 def _possible_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,11 +408,11 @@ def _possible_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def possible_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (u, v) that share a bucket and whose bags of words leave the similarity possible; nodes: node, n_words, keys, bags."""
-    names = ["n_words", "keys", "bags"]
+    """The pairs (u, v) whose bags of words leave the similarity possible; nodes: node, n_words, bags."""
+    names = ["n_words", "bags"]
     of = [nodes.select(F.col("node").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in names)) for x in "uv"]
-    met = pairs.join(of[0], "u").join(of[1], "v").where(F.arrays_overlap("keys_u", "keys_v"))
-    return met.select("u", "v", *(f"{n}_{x}" for n in ("n_words", "bags") for x in "uv")).mapInArrow(_possible_batches, "u long, v long")
+    met = pairs.join(of[0], "u").join(of[1], "v")
+    return met.select("u", "v", *(f"{n}_{x}" for n in names for x in "uv")).mapInArrow(_possible_batches, "u long, v long")
 
 
 def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -421,10 +478,15 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     linked = materialise(verified_pairs(tried, texts), "omh-links")
     roots = materialise(components(linked.select("u", "v")), "omh-roots")
     open_nodes = pairs.where("more").select(F.col("v").alias("node")).distinct()
-    rare = materialise(rare_rows(texts.join(open_nodes, "node", "left_semi"), written.where("counts is not null").select("counts")), "omh-rare")
+    buckets = materialise(mixed_buckets(nodes.join(open_nodes, "node", "left_semi"), roots), "omh-buckets")
+    large = buckets.where(F.col("n") > PAIRED).select("node").distinct()
+    rare = materialise(rare_rows(texts.join(large, "node", "left_semi"), written.where("counts is not null").select("counts")), "omh-rare")
     for others in (centre_pairs, other_pairs):
-        mixed = materialise(mixed_kmers(rare, roots), "omh-mixed")
-        more = materialise(possible_pairs(others(mixed).join(tried, ["u", "v"], "left_anti"), nodes), "omh-pairs")
+        mixed = materialise(mixed_groups(buckets, rare, roots), "omh-mixed")
+        found = possible_pairs(others(mixed).join(tried, ["u", "v"], "left_anti"), nodes)
+        if others is centre_pairs:
+            found = found.unionByName(bucket_pairs(buckets, nodes, roots).join(tried, ["u", "v"], "left_anti")).distinct()
+        more = materialise(found, "omh-pairs")
         release(mixed)
         linked = materialise(verified_pairs(more, texts), "omh-links")
         tried = tried.unionByName(more)
@@ -433,7 +495,7 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = materialise(
         nodes.select("node", "text_key", "least", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "omh-roots"
     )
-    release(rare, texts, pairs, linked, nodes)
+    release(buckets, rare, texts, pairs, linked, nodes)
     classes = placed.groupBy("root").agg(
         F.min("least").getField("doc_id").alias("class_id"),
         F.min(F.struct("least", "text_key")).getField("text_key").alias("keep_node"),

@@ -36,6 +36,29 @@ def test_edit_distance_equals_the_full_table(a, b, limit, rows):
     assert alignment.least_distance(array(a), array(b)) <= want
 
 
+@settings(max_examples=300, deadline=None)
+@given(SEQUENCE, SEQUENCE, st.integers(0, 24))
+def test_each_way_gives_the_distance(a, b, limit):
+    """By diagonals, by rows of a band, by columns of bits: what they find is the full table's distance."""
+    want = table(a, b)
+    if a and b:
+        assert alignment._by_bits(array(a), array(b), limit) == (want if want <= limit else None)
+        if abs(len(a) - len(b)) <= limit:
+            for way in (alignment._by_diagonals, alignment._by_rows):
+                assert way(array(a), array(b), limit) == (want if want <= limit else None)
+
+
+def test_long_texts_take_columns_of_bits(monkeypatch):
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 400, 1500).astype(np.uint64)
+    b = np.delete(a, rng.choice(1500, 90, replace=False))
+    b[rng.choice(len(b), 100, replace=False)] = 999
+    got = alignment.edit_distance(a, b, 300)
+    monkeypatch.setattr(alignment, "_by_bits", None)
+    monkeypatch.setattr(alignment, "BIT_WORDS", 0)
+    assert got is not None and got == alignment.edit_distance(a, b, 300)
+
+
 @settings(max_examples=200, deadline=None)
 @given(SEQUENCE, SEQUENCE)
 def test_local_alignment_equals_the_full_table(a, b):

@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.llm import components, order_minhash, suffix_dedup
+from headway.llm.store import materialise
 from headway.llm.words import words_of
 from tests.llm.conftest import as_documents, prose
 from tests.llm.test_alignment import table
@@ -139,6 +142,56 @@ def test_texts_alike_but_unlike_their_centre_are_linked(spark, monkeypatch):
     assert max(Counter(map(len, classes_of(found)))) > 1
 
 
+@pytest.mark.parametrize("paired", [2, 64])
+def test_large_buckets_lose_no_link(spark, monkeypatch, paired):
+    """A passage that many texts begin with: its buckets' texts are joined by rare k-mers, or all paired."""
+    monkeypatch.setattr(order_minhash, "PAIRED", paired)
+    rows = []
+    for g in range(12):
+        base = prose(7, 40) + " " + prose(700 + g, 25)
+        rows += [(10 * g + k, edited(base, 31 * g + k, 0.06 * k), "s") for k in range(3)]
+    found, _ = order_minhash.near_duplicate_classes(as_documents(spark, rows))
+    assert classes_of(found) == brute_classes(rows)
+
+
+@pytest.mark.parametrize("paired", [1, 64])
+def test_texts_without_a_common_bucket_are_not_paired(spark, monkeypatch, paired):
+    """A k-mer in common is not enough, however rare it is; a class's own texts are not paired either."""
+    monkeypatch.setattr(order_minhash, "PAIRED", paired)
+    schema = "node long, n_words int, keys array<long>, bags binary"
+    nodes = spark.createDataFrame([(n, 10, [n // 3], bytearray([1] * 10 + [0] * 246)) for n in range(9)], schema)
+    rare = spark.createDataFrame([(n, [5, 6 + n % 2]) for n in range(9)], "node long, rare array<long>")
+    roots = spark.createDataFrame([(0, 0), (1, 0)], "node long, root long")
+    buckets = order_minhash.mixed_buckets(nodes, roots)
+    groups = order_minhash.mixed_groups(buckets, rare, roots)
+    found = order_minhash.other_pairs(groups).union(order_minhash.bucket_pairs(buckets, nodes, roots))
+    assert sorted(map(tuple, found.collect())) == [(0, 2), (1, 2), (3, 4), (3, 5), (4, 5), (6, 7), (6, 8), (7, 8)]
+
+
+def test_buckets_that_go_on_in_the_next_batch():
+    """A bucket's rows are compared however batches cut them."""
+    rows = [(key, 10 * key + n, 10, 10 * key + n, bytes([1] * 10 + [0] * 246)) for key in range(4) for n in range(key + 1)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["key", "node", "n_words", "class", "bags"])
+    want = sorted((10 * k + i, 10 * k + j) for k in range(4) for j in range(k + 1) for i in range(j))
+    for size in (1, 2, 3, 10):
+        got = [p for b in order_minhash._pairing(whole.slice(i, size) for i in range(0, len(rows), size)) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert sorted(got) == want
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffled():
+        return {f for folder in folders for f in Path(folder.toString()).rglob("shuffle_*.data")}
+
+    before = shuffled()
+    materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    until = time.monotonic() + 10
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+
+
 def test_rarest_kmers_of_links_meet_in_any_order():
     """Substitutions, insertions and deletions within the similarity leave a rare k-mer in common, whatever is held to be rare."""
     for seed in range(1500):
