@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 import pytest
@@ -191,3 +192,41 @@ def test_days_whose_polls_are_all_written_again_are_not_walked(spark, tmp_root,
     assert got == sorted([(p, 2) for _, _, p in polls[1:]] + [("5-0", 1), ("new", 2), ("later", 2)])
     walked = {p.rpartition("date=")[2].partition("/")[0] for p in listed if "date=" in p}
     assert walked == {"2031-03-05"}
+
+
+def test_local_partitions_are_written_without_a_process_each(spark, tmp_root):
+    """Names, values and rows as Spark's own writer has them, without a checksum file or a process for permissions."""
+    from pathlib import Path
+
+    from headway.plans.files import write_partitions
+
+    schema = "n long, at timestamp_ntz, x float, date date, hour int, poll string"
+    when = dt.datetime(2031, 3, 5, 9, 11)
+    keys = [(dt.date(2031, 3, 5), 9, "20310305T09:11"), (None, None, None), (dt.date(2031, 3, 5), 10, "a b=c/d%"), (dt.date(2031, 3, 6), 0, "")]
+    rows = [(k, when, 0.5 if k % 2 else None, *keys[k % 4]) for k in range(40)]
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    parts = ("date", "hour", "poll")
+    write_partitions(df, f"{tmp_root}/own", parts)
+    df.write.partitionBy(*parts).parquet(f"{tmp_root}/spark")
+
+    def folders(root):
+        return sorted(str(p.parent.relative_to(root)) for p in Path(root).rglob("part-*.parquet"))
+
+    assert folders(f"{tmp_root}/own") == folders(f"{tmp_root}/spark")
+    assert not list(Path(f"{tmp_root}/own").rglob("*.crc")) and not Path(f"{tmp_root}/own/_attempts").exists()
+    own, other = (sorted(map(str, spark.read.schema(schema).parquet(f"{tmp_root}/{x}").collect())) for x in ("own", "spark"))
+    assert own == other and len(own) == 40
+
+
+def test_rows_of_a_partition_in_several_batches_make_one_file(spark, tmp_root):
+    from pathlib import Path
+
+    from headway.plans.files import write_partitions
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        write_partitions(spark.range(100, numPartitions=1).withColumn("k", F.col("id") % 3), tmp_root, ("k",))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(list(Path(tmp_root).rglob("*.parquet"))) == 3
+    assert spark.read.parquet(tmp_root).count() == 100
