@@ -373,8 +373,9 @@ def bucket_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame) -> Data
 def mixed_groups(buckets: DataFrame, rare: DataFrame, roots: DataFrame) -> DataFrame:
     """(group, node, n_words, class, minor) of the texts of a bucket of more than ``PAIRED`` that have a certain
     rare k-mer, of different classes in each group; ``minor``: not of its largest class; rare: node, rare."""
-    many = buckets.where(F.col("n") > PAIRED).join(rare.select("node", F.explode("rare").alias("kmer")), "node")
-    rows = _classed(many.select(F.xxhash64("key", "kmer").alias("group"), "node", "n_words"), roots)
+    many = _classed(buckets.where(F.col("n") > PAIRED).drop("n"), roots).join(rare, "node")
+    rows = many.select("key", "node", "n_words", "class", F.explode("rare").alias("kmer"))
+    rows = rows.select(F.xxhash64("key", "kmer").alias("group"), "node", "n_words", "class")
     own = Window.partitionBy("group")
     sized = rows.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("group", "class")))
     ends = sized.withColumns({"low": F.min("class").over(own), "high": F.max("class").over(own), "main": F.max(F.struct("size", "class")).over(own)})
